@@ -116,7 +116,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("order_status"),
         pk.alias("_src_partkey"),
         sk.alias("_src_suppkey"),
-        F.col("l_shipdate").alias("_src_shipdate"),
+        F.to_date(F.col("l_shipdate")).alias("_src_shipdate"),
     )
 
 
