@@ -135,3 +135,8 @@ def check_header(found: list[str], expected: list[str], source: str = "") -> Non
             f"header mismatch{(' in ' + source) if source else ''}: "
             f"expected {expected}, found {list(found)} (missing={missing}, extra={extra})"
         )
+
+
+def as_read(schema: StructType) -> StructType:
+    """The schema as the CSV reader returns it: every field nullable."""
+    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
