@@ -40,7 +40,7 @@ def quality_issue_rows(
     """
     picked = sales.orderBy(*order_by).limit(3)
     picked = picked.withColumn("_pick", F.row_number().over(Window.orderBy(*order_by)) - 1)
-    picked = picked.crossJoin(F.broadcast(start_date.select("start")))
+    picked = picked.withColumn("start", start_date.select("start").scalar())
 
     def money_like(value: str, column: str):
         return F.lit(value).cast(sales.schema[column].dataType) if column in sales.columns else money(F.lit(value))

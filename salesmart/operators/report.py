@@ -32,12 +32,14 @@ COUNT_COLUMNS = [
 def report_counts(input_rows: DataFrame, checked: DataFrame) -> DataFrame:
     """One row with the six report counts.
 
-    ``input_rows`` is a one-row frame holding the raw line count (before a
-    duplicated dimension key could fan lines out); the other counts are
-    conditional counts over the checked lines in a single pass.
+    ``input_rows`` is a one-row, one-column frame holding the raw line count
+    (before a duplicated dimension key could fan lines out), used as a
+    scalar subquery; the other counts are conditional counts over the
+    checked lines in a single pass.
     """
     rejected = F.col(QUALITY_REASON) != ""
     counts = checked.agg(
+        input_rows.scalar().alias("input_rows"),
         F.count_if(~rejected).alias("accepted_rows"),
         F.count_if(rejected).alias("rejected_rows"),
         F.count_if(reason_mentions("duplicate_transaction")).alias("duplicate_rows"),
@@ -46,7 +48,7 @@ def report_counts(input_rows: DataFrame, checked: DataFrame) -> DataFrame:
         ).alias("missing_product_rows"),
         F.count_if(reason_mentions("invalid_unit_price")).alias("invalid_price_rows"),
     )
-    return input_rows.crossJoin(counts).select(*COUNT_COLUMNS)
+    return counts.select(*COUNT_COLUMNS)
 
 
 def count_rows(df: DataFrame, alias: str = "input_rows") -> DataFrame:
@@ -61,10 +63,11 @@ def rejection_reasons(quarantine: DataFrame) -> DataFrame:
 def row_accounting(input_rows: DataFrame, checked: DataFrame) -> DataFrame:
     """input = accepted + rejected (fails only when a dimension key fans out)."""
     counts = checked.agg(
+        input_rows.scalar().alias("input_rows"),
         F.count_if(F.col(QUALITY_REASON) == "").alias("accepted_rows"),
         F.count_if(F.col(QUALITY_REASON) != "").alias("rejected_rows"),
     )
-    return input_rows.crossJoin(counts).select(
+    return counts.select(
         "input_rows",
         "accepted_rows",
         "rejected_rows",

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.operators.dedup import rank_duplicates
+from salesmart.operators.dedup import DEFAULT_SKEW, SkewPolicy, rank_duplicates
 from salesmart.operators.enrich import enrich
 from salesmart.operators.normalize import SOURCE_ROW_ID, add_realized_measures, add_source_row_id, normalize_sales
 from salesmart.operators.quality import QUALITY_REASON, accepted_only, add_quality_reason, rejected_only
@@ -36,28 +36,41 @@ def _source_order(sales: DataFrame, order_by: Sequence[str] | None) -> tuple[Dat
     return sales, [SOURCE_ROW_ID]
 
 
-def ranked_sales(sales: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def ranked_sales(
+    sales: DataFrame,
+    order_by: Sequence[str] | None = None,
+    skew: SkewPolicy | None = DEFAULT_SKEW,
+) -> DataFrame:
     """Normalised lines with ``_duplicate_rank``.
 
     ``order_by`` names the source-order columns; by default the ingest
-    ``_source_row_id`` (added here when the input has none).
+    ``_source_row_id`` (added here when the input has none). ``skew``
+    splits hot transaction ids across tasks (None: one plain window).
     """
     sales, order = _source_order(sales, order_by)
-    return rank_duplicates(normalize_sales(sales), order_by=order)
+    return rank_duplicates(normalize_sales(sales), order_by=order, skew=skew)
 
 
-def enriched_sales(tables: Tables, order_by: Sequence[str] | None = None) -> DataFrame:
+def enriched_sales(
+    tables: Tables,
+    order_by: Sequence[str] | None = None,
+    skew: SkewPolicy | None = DEFAULT_SKEW,
+) -> DataFrame:
     return enrich(
-        ranked_sales(tables["sales_transactions"], order_by),
+        ranked_sales(tables["sales_transactions"], order_by, skew),
         tables["products"],
         tables["stores"],
         tables["calendar"],
     )
 
 
-def checked_sales(tables: Tables, order_by: Sequence[str] | None = None) -> DataFrame:
+def checked_sales(
+    tables: Tables,
+    order_by: Sequence[str] | None = None,
+    skew: SkewPolicy | None = DEFAULT_SKEW,
+) -> DataFrame:
     """Every enriched line with its ``quality_reason`` ("" = accepted)."""
-    return add_quality_reason(enriched_sales(tables, order_by))
+    return add_quality_reason(enriched_sales(tables, order_by, skew))
 
 
 def _helper_columns(df: DataFrame) -> list[str]:
@@ -79,13 +92,20 @@ def quarantine_from_checked(checked: DataFrame) -> DataFrame:
 
 
 def accepted_sales(tables: Tables, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Silver through the explicit accept predicate (see module docstring)."""
-    return to_silver(accepted_only(enriched_sales(tables, order_by)))
+    """Silver through the explicit accept predicate (see module docstring).
+
+    The plain rank window is kept on purpose: ``rank <= 1`` on it becomes
+    a partial + final WindowGroupLimit, which keeps one line per id and
+    map task before the shuffle, so a hot id costs nothing extra here.
+    """
+    return to_silver(accepted_only(enriched_sales(tables, order_by, skew=None)))
 
 
 def build_silver_sales(
-    tables: Tables, order_by: Sequence[str] | None = None
+    tables: Tables,
+    order_by: Sequence[str] | None = None,
+    skew: SkewPolicy | None = DEFAULT_SKEW,
 ) -> tuple[DataFrame, DataFrame]:
     """(silver, quarantine) as two lazy frames over the same checked lines."""
-    checked = checked_sales(tables, order_by)
+    checked = checked_sales(tables, order_by, skew)
     return silver_from_checked(checked), quarantine_from_checked(checked)

@@ -1,0 +1,39 @@
+"""Exact ranks with hot keys split across tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from salesmart.operators.dedup import DUPLICATE_RANK, SkewPolicy, find_hot_keys, rank_duplicates
+
+FORCE = SkewPolicy(sample_fraction=1.0, hot_rows=50, max_hot_keys=10, buckets=5, accuracy=100000)
+
+
+def _lines(spark):
+    # one hot id (400 copies), NULL ids (300), and 200 ids with 1-3 copies
+    rows = [("HOT", i * 7 % 401) for i in range(400)]
+    rows += [(None, 1000 + (i * 11) % 307) for i in range(300)]
+    rows += [(f"K{i}", 5000 + i * 3 + c) for i in range(200) for c in range(1 + i % 3)]
+    return spark.createDataFrame(rows, "transaction_id string, _source_row_id long").repartition(7)
+
+
+def test_hot_keys_are_found(spark):
+    keys, null_hot = find_hot_keys(_lines(spark), "transaction_id", FORCE)
+    assert keys == ["HOT"] and null_hot
+
+
+def test_split_rank_equals_plain_window(spark):
+    df = _lines(spark)
+    plain = rank_duplicates(df, skew=None)
+    split = rank_duplicates(df, skew=FORCE)
+    assert split.columns == plain.columns
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    hot = split.where(F.col("transaction_id") == "HOT").agg(
+        F.min(DUPLICATE_RANK), F.max(DUPLICATE_RANK), F.count_distinct(DUPLICATE_RANK)
+    ).first()
+    assert tuple(hot) == (1, 400, 400)
+
+
+def test_split_rank_uses_buckets_for_the_hot_key(spark):
+    plan = rank_duplicates(_lines(spark), skew=FORCE)._jdf.queryExecution().executedPlan().toString()
+    assert "_bucket" in plan and "BroadcastHashJoin" in plan
