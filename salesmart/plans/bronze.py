@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.normalize import SOURCE_ROW_ID, add_source_row_id
+from salesmart.plans.actions import concurrently
 from salesmart.sources.files import read_parquet, write_parquet
 
 INGESTED_AT = "ingested_at"
@@ -25,11 +26,13 @@ def with_ingest_columns(name: str, df: DataFrame) -> DataFrame:
 
 def write_bronze(tables: dict[str, DataFrame], bronze_root: str) -> dict[str, str]:
     """Write every table under ``bronze_root/<name>``; returns the paths."""
-    paths = {}
-    for name, df in tables.items():
-        path = f"{bronze_root.rstrip('/')}/{name}"
-        write_parquet(with_ingest_columns(name, df), path)
-        paths[name] = path
+    paths = {name: f"{bronze_root.rstrip('/')}/{name}" for name in tables}
+    concurrently(
+        *[
+            (lambda n=name, df=df: write_parquet(with_ingest_columns(n, df), paths[n]))
+            for name, df in tables.items()
+        ]
+    )
     return paths
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.quality import QUALITY_REASON
 from salesmart.operators.report import report_counts, report_document
+from salesmart.plans.actions import concurrently
 from salesmart.plans.bronze import read_bronze, without_ingest_time, write_bronze
 from salesmart.plans.gold import build_gold_tables
 from salesmart.plans.silver import checked_sales, to_silver
@@ -91,20 +92,26 @@ def run(
     tables = {name: without_ingest_time(df) for name, df in bronze.items()}
     staged = stage_checked(spark, checked_sales(tables, order_by), scratch_uri(spark, "checked"))
 
-    write_parquet(
-        silver_from_staged(staged),
-        layout.silver_sales_path,
-        partition_by=list(silver_partition_by) if silver_partition_by else None,
+    input_df = spark.range(1).select(F.lit(input_rows).cast("long").alias("input_rows"))
+    _, _, counts, reasons = concurrently(
+        lambda: write_parquet(
+            silver_from_staged(staged),
+            layout.silver_sales_path,
+            partition_by=list(silver_partition_by) if silver_partition_by else None,
+        ),
+        lambda: write_parquet(quarantine_from_staged(staged), layout.quarantine_sales_path),
+        lambda: report_counts(input_df, staged).collect()[0].asDict(),
+        lambda: reason_counts(quarantine_from_staged(staged)),
     )
-    write_parquet(quarantine_from_staged(staged), layout.quarantine_sales_path)
 
     silver = read_parquet(spark, layout.silver_sales_path)
-    for name, df in build_gold_tables(silver).items():
-        write_parquet(df, layout.gold_path(name))
+    concurrently(
+        *[
+            (lambda n=name, df=df: write_parquet(df, layout.gold_path(n)))
+            for name, df in build_gold_tables(silver).items()
+        ]
+    )
 
-    input_df = spark.range(1).select(F.lit(input_rows).cast("long").alias("input_rows"))
-    counts = report_counts(input_df, staged).collect()[0].asDict()
-    reasons = reason_counts(read_parquet(spark, layout.quarantine_sales_path))
     document = report_document(counts, reasons)
     write_report(spark, document, layout.quality_report_path)
     return document
