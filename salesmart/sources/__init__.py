@@ -1,0 +1 @@
+"""Sources and sinks: files, warehouse layout, raw dataset writer, test-data adapter."""

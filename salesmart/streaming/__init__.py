@@ -1,0 +1,8 @@
+"""Streaming operators: none.
+
+The source pipeline is batch only: no stream source or sink, no watermark,
+event-time window or state. Nothing is built here on purpose; raw files
+that arrive over time are processed by re-running the batch job
+(``salesmart.plans.job.run``), whose bronze ingest persists the source
+order so re-runs stay deterministic.
+"""
