@@ -34,3 +34,17 @@ def test_gold_is_partial_plus_final_aggregate(spark):
     plan = _plan(metric_overview_daily(accepted_sales(tables(spark, clean_lines(10)))))
     assert plan.count("HashAggregate") >= 2
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_gold_sql_path_equals_dataframe_path(spark):
+    from salesmart.plans.gold import build_gold_tables
+    from salesmart.plans.gold_sql import build_gold_tables_sql
+
+    silver = accepted_sales(tables(spark, clean_lines(30)))
+    by_df = build_gold_tables(silver)
+    by_sql = build_gold_tables_sql(spark, silver)
+    assert by_df.keys() == by_sql.keys()
+    for name in by_df:
+        a, b = by_df[name], by_sql[name]
+        assert a.columns == b.columns, name
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
