@@ -20,9 +20,7 @@ EVENT_FIRST_DAY = 23
 
 
 def _share(counts: DataFrame, frame: Sequence[str], count_col: str = "line_count") -> Column:
-    total = F.sum(count_col).over(Window.partitionBy(*frame)) if frame else F.sum(count_col).over(
-        Window.partitionBy()
-    )
+    total = F.sum(count_col).over(Window.partitionBy(*frame))
     return (F.col(count_col).cast("double") / total.cast("double")).alias("share")
 
 

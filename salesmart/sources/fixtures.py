@@ -4,8 +4,8 @@ Stands in for the source's single-process generator: the tables come from
 the driver data through the retail adapter (optionally with the three
 known-bad lines appended) and are written by Spark. The sales file is
 range-partitioned by transaction id and sorted inside each file by the
-source order, so every copy of a transaction sits in one file in source
-order and the ingest ``_source_row_id`` reproduces that order.
+source order, so the copies of a transaction follow each other in source
+order and the ingest ``_source_row_id`` reproduces that order inside a file.
 """
 
 from __future__ import annotations
@@ -40,9 +40,13 @@ MANIFEST_SCHEMA = (
 
 
 def sales_in_source_order(sales: DataFrame, order_by: Sequence[str], files: int) -> DataFrame:
-    return sales.repartitionByRange(files, "transaction_id").sortWithinPartitions(
-        "transaction_id", *order_by
-    )
+    """Range-partition on (transaction id, source order) and sort each file.
+
+    The range includes the order columns, so a transaction with very many
+    copies spreads over consecutive files instead of one task.
+    """
+    keys = ["transaction_id", *order_by]
+    return sales.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
 
 
 def write_raw_dataset(

@@ -48,3 +48,15 @@ def test_gold_sql_path_equals_dataframe_path(spark):
         a, b = by_df[name], by_sql[name]
         assert a.columns == b.columns, name
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_staged_layers_do_not_recompute_the_checked_lines(spark):
+    from salesmart.plans.job import quarantine_from_staged, silver_from_staged, stage_checked
+    from salesmart.session import scratch_uri
+
+    staged = stage_checked(spark, checked_sales(tables(spark, clean_lines(10))), scratch_uri(spark, "staged"))
+    for df in (silver_from_staged(staged), quarantine_from_staged(staged)):
+        plan = _plan(df)
+        assert "Window" not in plan and "Exchange" not in plan and "Join" not in plan
+        filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+        assert "accepted" in filters  # whole partition directories are pruned
