@@ -37,3 +37,12 @@ def test_split_rank_equals_plain_window(spark):
 def test_split_rank_uses_buckets_for_the_hot_key(spark):
     plan = rank_duplicates(_lines(spark), skew=FORCE)._jdf.queryExecution().executedPlan().toString()
     assert "_bucket" in plan and "BroadcastHashJoin" in plan
+
+
+def test_split_rank_has_one_shuffle(spark):
+    df = _lines(spark)
+    split = rank_duplicates(df, skew=FORCE)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    # the input's own repartition(7) plus exactly one exchange for the ranking window
+    assert plan.count("Exchange hashpartitioning(transaction_id") == 1
+    assert "RoundRobinPartitioning" in plan  # the fixture's repartition(7)
