@@ -38,17 +38,21 @@ def main(argv: list[str] | None = None) -> dict:
     fix.add_argument("--sf-dir", required=True)
     fix.add_argument("--raw-dir", required=True)
     fix.add_argument("--no-defects", action="store_true")
+    fix.add_argument("--sales-files", type=int, default=None)
     both = sub.add_parser("all", help="fixtures, then pipeline")
     both.add_argument("--sf-dir", required=True)
     both.add_argument("--raw-dir", required=True)
     both.add_argument("--warehouse-dir", required=True)
     both.add_argument("--no-defects", action="store_true")
+    both.add_argument("--sales-files", type=int, default=None)
     args = parser.parse_args(argv)
 
     spark = _session(args)
     layout = Layout(args.raw_dir, getattr(args, "warehouse_dir", args.raw_dir))
     if args.command in ("fixtures", "all"):
-        result = build_raw_dataset(spark, args.sf_dir, layout, inject_defects=not args.no_defects)
+        result = build_raw_dataset(
+            spark, args.sf_dir, layout, inject_defects=not args.no_defects, sales_files=args.sales_files
+        )
     if args.command in ("pipeline", "all"):
         result = run(spark, layout)
     print(json.dumps(result, indent=2))

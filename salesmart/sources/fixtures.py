@@ -89,9 +89,20 @@ def write_manifest(
 
 
 def build_raw_dataset(
-    spark: SparkSession, sf_dir: str, layout: Layout, inject_defects: bool = True
+    spark: SparkSession,
+    sf_dir: str,
+    layout: Layout,
+    inject_defects: bool = True,
+    sales_files: int | None = None,
 ) -> dict:
-    """Driver tables -> raw CSVs (+ the three known-bad lines) -> manifest."""
+    """Driver tables -> raw CSVs (+ the three known-bad lines) -> manifest.
+
+    The ingest order of a multi-file CSV is split order (as the source's
+    id), and Spark packs splits by size, so a transaction whose copies fall
+    on both sides of a file boundary may be read in another order than
+    written. ``sales_files=1`` makes the ingest order exactly the written
+    order (for small comparisons with the catalog queries).
+    """
     tables = rv.raw_tables(spark, sf_dir)
     if inject_defects:
         sales = tables["sales_transactions"]
@@ -99,5 +110,5 @@ def build_raw_dataset(
         tables["sales_transactions"] = inject_quality_issues(
             sales, ["transaction_id", *rv.SOURCE_ORDER], start
         )
-    counts = write_raw_dataset(spark, tables, layout)
+    counts = write_raw_dataset(spark, tables, layout, sales_files=sales_files)
     return write_manifest(spark, layout, counts, inject_defects)

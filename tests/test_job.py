@@ -93,3 +93,25 @@ def test_csv_unparsable_values_become_null_and_hit_rules(spark):
     assert got["T1"]["unit_price"] is not None and str(got["T1"]["unit_price"]) == "100.00"
     assert df.schema["transaction_date"].dataType.simpleString() == "date"
     assert dt.date(2025, 1, 1) == got["T1"]["transaction_date"]
+
+
+def test_cli_all_matches_the_catalog(spark):
+    """fixtures + pipeline through the CLI; gold equals the oracle-checked catalog queries."""
+    from salesmart import cli
+    from salesmart.operators.checks import dataset_differences
+    from salesmart.plans.catalog import catalog
+    from tests.conftest import SF_SMALL
+
+    base = scratch_uri(spark, "cli-test")
+    report = cli.main(["all", "--no-defects", "--sales-files", "1", "--sf-dir", SF_SMALL,
+                       "--raw-dir", f"{base}/raw", "--warehouse-dir", f"{base}/wh"])
+    assert report["input_rows"] == 6000 and report["accepted_rows"] == 3539
+    layout = Layout(f"{base}/raw", f"{base}/wh")
+    cat = catalog()
+    for name in GOLD_TABLES:
+        written = spark.read.parquet(layout.gold_path(name))
+        assert dataset_differences(written, cat[name](spark, SF_SMALL)).count() == 0, name
+    quarantine = spark.read.parquet(layout.quarantine_sales_path)
+    reasons = {r["quality_reason"]: r["n"] for r in quarantine.groupBy("quality_reason").agg(F.count("*").alias("n")).collect()}
+    expected = {r["quality_reason"]: r["row_count"] for r in cat["rejection_reasons"](spark, SF_SMALL).collect()}
+    assert reasons == expected
