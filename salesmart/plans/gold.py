@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from salesmart.functions.money import cents, half_up_ratio, rounded_sum
 from salesmart.operators.normalize import PAID
@@ -31,7 +32,13 @@ def paid_lines(silver: DataFrame) -> DataFrame:
 
 
 def metric_overview_daily(silver: DataFrame) -> DataFrame:
-    """Orders, lines, units and money per day; average order value half-up."""
+    """Orders, lines, units and money per day; average order value half-up.
+
+    With DECIMAL money the average is divided in integer cents (exact).
+    Floating money (frames built with DOUBLE columns, which may carry NaN)
+    uses ROUND(sum / orders, 2), so NaN stays NaN instead of failing a cast.
+    """
+    exact = isinstance(silver.schema["realized_revenue"].dataType, DecimalType)
     agg = paid_lines(silver).groupBy("transaction_date").agg(
         F.count_distinct("order_id").alias("order_count"),
         F.count(F.lit(1)).alias("order_line_count"),
@@ -40,8 +47,14 @@ def metric_overview_daily(silver: DataFrame) -> DataFrame:
         rounded_sum("gross_revenue").alias("gross_revenue"),
         rounded_sum("total_cost").alias("total_cost"),
         rounded_sum("realized_margin").alias("margin"),
-        cents(F.sum("realized_revenue")).alias("_revenue_cents"),
+        (cents(F.sum("realized_revenue")) if exact else F.sum("realized_revenue")).alias("_revenue"),
     )
+    if exact:
+        average = half_up_ratio("_revenue", "order_count")
+    else:
+        average = F.when(F.col("order_count") == 0, F.lit(0.0)).otherwise(
+            F.round(F.col("_revenue") / F.col("order_count"), 2)
+        )
     return agg.select(
         "transaction_date",
         "order_count",
@@ -51,7 +64,7 @@ def metric_overview_daily(silver: DataFrame) -> DataFrame:
         "gross_revenue",
         "total_cost",
         "margin",
-        half_up_ratio("_revenue_cents", "order_count").alias("average_order_value"),
+        average.cast("double").alias("average_order_value"),
     )
 
 

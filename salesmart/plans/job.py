@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.operators.dedup import DEFAULT_SKEW, SkewPolicy
 from salesmart.operators.quality import QUALITY_REASON
 from salesmart.operators.report import report_counts, report_document
 from salesmart.plans.actions import concurrently
@@ -83,14 +84,19 @@ def run(
     layout: Layout,
     order_by: Sequence[str] | None = None,
     silver_partition_by: Sequence[str] | None = None,
+    skew: SkewPolicy | None = DEFAULT_SKEW,
 ) -> dict:
-    """Run every layer and return the quality report (also written as JSON)."""
+    """Run every layer and return the quality report (also written as JSON).
+
+    ``skew`` controls when a transaction id is split across tasks for the
+    duplicate rank (None: one plain window).
+    """
     raw = load_raw_tables(spark, layout)
     bronze = read_bronze(spark, write_bronze(raw, layout.bronze_dir))
     input_rows = bronze["sales_transactions"].count()  # Parquet footer metadata
 
     tables = {name: without_ingest_time(df) for name, df in bronze.items()}
-    staged = stage_checked(spark, checked_sales(tables, order_by), scratch_uri(spark, "checked"))
+    staged = stage_checked(spark, checked_sales(tables, order_by, skew), scratch_uri(spark, "checked"))
 
     input_df = spark.range(1).select(F.lit(input_rows).cast("long").alias("input_rows"))
     _, _, counts, reasons = concurrently(

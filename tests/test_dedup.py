@@ -46,3 +46,17 @@ def test_split_rank_has_one_shuffle(spark):
     # the input's own repartition(7) plus exactly one exchange for the ranking window
     assert plan.count("Exchange hashpartitioning(transaction_id") == 1
     assert "RoundRobinPartitioning" in plan  # the fixture's repartition(7)
+
+
+def test_checked_lines_equal_with_and_without_split(spark):
+    from salesmart.plans.silver import checked_sales
+    from tests.fixtures import sale, tables
+
+    rows = [sale(tid=None, qty=1 + i % 4) for i in range(120)]
+    rows += [sale(tid="HOT", net=str(i)) for i in range(150)]
+    rows += [sale(tid=f"T{i}", product="P002" if i % 2 else "P001") for i in range(60)]
+    t = tables(spark, rows)
+    plain = checked_sales(t, skew=None)
+    split = checked_sales(t, skew=FORCE)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    assert split.where(F.col("quality_reason") == "").count() == 62  # one NULL id, one HOT, 60 singles

@@ -170,3 +170,25 @@ def test_passes_is_the_two_valued_complement_of_fires(spark):
         assert all(r[rule.reason] for rule in RULES), r
     assert set(RULES_BY_REASON) == {rule.reason for rule in RULES}
     assert len(list(itertools.chain(rows))) == len(result)
+
+
+def test_double_money_frames_with_nan_run_through(spark):
+    # Frames with DOUBLE money (the source's in-memory test style); NaN passes the rules.
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    from salesmart.schemas import SALES_SCHEMA, as_read
+
+    double_schema = StructType([
+        StructField(f.name, DoubleType(), True) if "decimal" in f.dataType.simpleString() else f
+        for f in as_read(SALES_SCHEMA).fields
+    ])
+    rows = [tuple(float(v) if isinstance(v, Decimal) else v for v in sale(tid="A", net=None)),
+            tuple(float(v) if isinstance(v, Decimal) else v for v in sale(tid="B", oid="O2"))]
+    rows[0] = rows[0][:10] + (math.nan,) + rows[0][11:]
+    t = tables(spark, [])
+    t["sales_transactions"] = spark.createDataFrame(rows, double_schema)
+    silver = accepted_sales(t)
+    assert silver.count() == 2
+    row = metric_overview_daily(silver).collect()[0]
+    assert math.isnan(row["net_revenue"]) and math.isnan(row["average_order_value"])
+    assert row["order_line_count"] == 2 and row["gross_revenue"] == 200.0
