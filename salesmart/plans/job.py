@@ -10,10 +10,14 @@ Execution shape (versus evaluating the silver lineage once per output):
    directory, partitioned by ``accepted``; this also cuts the lineage, so
    a lost executor later never recomputes the window or the joins.
 3. Silver and quarantine are partition-pruned reads of the staging table.
-4. Gold reads silver back with only the columns each rollup needs.
+4. Gold aggregates the staged accepted lines with only the columns each
+   rollup needs.
 5. The report is one conditional-count pass over the staging table's
-   reason column plus a grouped count of the quarantine (bounded by the
-   number of reason combinations); only those small rows reach the driver.
+   reason column (the bronze row count, from Parquet footers, joins it as a
+   scalar subquery) plus a grouped count of the rejected lines (bounded by
+   the number of reason combinations); only those small rows reach the
+   driver.
+6. Steps 3-5 only read the staged table and run as concurrent jobs.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.dedup import DEFAULT_SKEW, SkewPolicy
 from salesmart.operators.quality import QUALITY_REASON
-from salesmart.operators.report import report_counts, report_document
+from salesmart.operators.report import count_rows, report_counts, report_document
 from salesmart.plans.actions import concurrently
 from salesmart.plans.bronze import read_bronze, without_ingest_time, write_bronze
 from salesmart.plans.gold import build_gold_tables
@@ -93,32 +97,29 @@ def run(
     """
     raw = load_raw_tables(spark, layout)
     bronze = read_bronze(spark, write_bronze(raw, layout.bronze_dir))
-    input_rows = bronze["sales_transactions"].count()  # Parquet footer metadata
-
     tables = {name: without_ingest_time(df) for name, df in bronze.items()}
     staged = stage_checked(spark, checked_sales(tables, order_by, skew), scratch_uri(spark, "checked"))
 
-    input_df = spark.range(1).select(F.lit(input_rows).cast("long").alias("input_rows"))
-    _, _, counts, reasons = concurrently(
+    # Everything below reads the staged lines only, so it runs as concurrent
+    # jobs: gold is aggregated from the staged accepted lines (the same rows
+    # the silver write stores) instead of waiting for silver to be written.
+    silver = silver_from_staged(staged)
+    gold_writes = [
+        (lambda n=name, df=df: write_parquet(df, layout.gold_path(n)))
+        for name, df in build_gold_tables(silver).items()
+    ]
+    results = concurrently(
         lambda: write_parquet(
-            silver_from_staged(staged),
+            silver,
             layout.silver_sales_path,
             partition_by=list(silver_partition_by) if silver_partition_by else None,
         ),
         lambda: write_parquet(quarantine_from_staged(staged), layout.quarantine_sales_path),
-        lambda: report_counts(input_df, staged).collect()[0].asDict(),
+        lambda: report_counts(count_rows(bronze["sales_transactions"]), staged).collect()[0].asDict(),
         lambda: reason_counts(quarantine_from_staged(staged)),
+        *gold_writes,
     )
-
-    silver = read_parquet(spark, layout.silver_sales_path)
-    concurrently(
-        *[
-            (lambda n=name, df=df: write_parquet(df, layout.gold_path(n)))
-            for name, df in build_gold_tables(silver).items()
-        ]
-    )
-
-    document = report_document(counts, reasons)
+    document = report_document(results[2], results[3])
     write_report(spark, document, layout.quality_report_path)
     return document
 
