@@ -19,7 +19,7 @@ from tests.fixtures import clean_lines, tables
 
 
 
-def test_pipeline_quarantines_known_bad_rows(spark):
+def test_job_quarantines_the_injected_lines(spark):
     base = scratch_uri(spark, "job-test")
     layout = Layout(f"{base}/raw", f"{base}/warehouse")
     t = tables(spark, clean_lines(30), start="2025-01-01", end="2025-03-31")

@@ -21,7 +21,7 @@ def _reasons(spark, rows, **kw) -> dict[str, str]:
     return {r["transaction_id"]: r[QUALITY_REASON] for r in checked.collect()}
 
 
-def test_duplicate_keeps_first_and_rejects_copy(spark):
+def test_second_copy_of_a_line_is_quarantined(spark):
     # The source's own operator test: one row twice.
     silver, quarantine = build_silver_sales(tables(spark, [sale(), sale()]))
     assert silver.count() == 1
