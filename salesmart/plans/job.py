@@ -17,7 +17,8 @@ Execution shape (versus evaluating the silver lineage once per output):
    scalar subquery) plus a grouped count of the rejected lines (bounded by
    the number of reason combinations); only those small rows reach the
    driver.
-6. Steps 3-5 only read the staged table and run as concurrent jobs.
+6. Steps 3-5 only read the staged table and run as concurrent jobs; the
+   staged copy is released afterwards.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from salesmart.plans.gold import build_gold_tables
 from salesmart.plans.silver import checked_sales, to_silver
 from salesmart.schemas import SCHEMAS, TABLE_NAMES
 from salesmart.session import scratch_uri
-from salesmart.sources.files import read_csv, read_parquet, write_json_rows, write_parquet
+from salesmart.sources.files import read_csv, read_parquet, release, write_json_rows, write_parquet
 from salesmart.sources.layout import Layout
 
 ACCEPTED = "accepted"
@@ -98,7 +99,8 @@ def run(
     raw = load_raw_tables(spark, layout)
     bronze = read_bronze(spark, write_bronze(raw, layout.bronze_dir))
     tables = {name: without_ingest_time(df) for name, df in bronze.items()}
-    staged = stage_checked(spark, checked_sales(tables, order_by, skew), scratch_uri(spark, "checked"))
+    staging_uri = scratch_uri(spark, "checked")
+    staged = stage_checked(spark, checked_sales(tables, order_by, skew), staging_uri)
 
     # Everything below reads the staged lines only, so it runs as concurrent
     # jobs: gold is aggregated from the staged accepted lines (the same rows
@@ -119,6 +121,7 @@ def run(
         lambda: reason_counts(quarantine_from_staged(staged)),
         *gold_writes,
     )
+    release(spark, staging_uri)  # every output is written; free the staged copy
     document = report_document(results[2], results[3])
     write_report(spark, document, layout.quality_report_path)
     return document

@@ -68,3 +68,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def write_json_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON-lines dataset; used for one-row control results such as the report."""
     df.coalesce(1).write.mode(mode).json(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Free a scratch table's storage once nothing reads it any more.
+
+    Overwriting the location with an empty dataset removes the old files
+    through Spark's own file-system layer (any Hadoop URI).
+    """
+    spark.range(0).write.mode("overwrite").parquet(path)

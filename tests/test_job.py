@@ -115,3 +115,12 @@ def test_cli_all_matches_the_catalog(spark):
     reasons = {r["quality_reason"]: r["n"] for r in quarantine.groupBy("quality_reason").agg(F.count("*").alias("n")).collect()}
     expected = {r["quality_reason"]: r["row_count"] for r in cat["rejection_reasons"](spark, SF_SMALL).collect()}
     assert reasons == expected
+
+
+def test_release_empties_a_scratch_table(spark):
+    from salesmart.sources.files import release
+
+    path = scratch_uri(spark, "release")
+    spark.range(100).write.parquet(path)
+    release(spark, path)
+    assert spark.read.parquet(path).count() == 0
