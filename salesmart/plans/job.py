@@ -88,7 +88,6 @@ def run(
     spark: SparkSession,
     layout: Layout,
     order_by: Sequence[str] | None = None,
-    silver_partition_by: Sequence[str] | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
 ) -> dict:
     """Run every layer and return the quality report (also written as JSON).
@@ -111,11 +110,7 @@ def run(
         for name, df in build_gold_tables(silver).items()
     ]
     results = concurrently(
-        lambda: write_parquet(
-            silver,
-            layout.silver_sales_path,
-            partition_by=list(silver_partition_by) if silver_partition_by else None,
-        ),
+        lambda: write_parquet(silver, layout.silver_sales_path),
         lambda: write_parquet(quarantine_from_staged(staged), layout.quarantine_sales_path),
         lambda: report_counts(count_rows(bronze["sales_transactions"]), staged).collect()[0].asDict(),
         lambda: reason_counts(quarantine_from_staged(staged)),
