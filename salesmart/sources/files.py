@@ -31,14 +31,18 @@ def read_csv(
     """CSV with header and an explicit schema (no inference).
 
     Unparsable values become NULL (PERMISSIVE mode) and surface later as a
-    quality-rule hit. With ``check_columns`` the header must equal the
-    schema's names first, because Spark binds a given schema by position.
+    quality-rule hit. Spark binds a given schema by position, so headers are
+    checked: ``enforceSchema=false`` makes the scan validate the header of
+    EVERY file against the schema's names (a mismatch fails the read and
+    names the file); with ``check_columns`` the first file is also checked
+    up front on the driver, for an early, typed error.
     """
     if check_columns:
         check_header(read_header(spark, path), schema.fieldNames(), path)
     return (
         spark.read.schema(schema)
         .option("header", "true")
+        .option("enforceSchema", "false")
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

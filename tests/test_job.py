@@ -124,3 +124,18 @@ def test_release_empties_a_scratch_table(spark):
     spark.range(100).write.parquet(path)
     release(spark, path)
     assert spark.read.parquet(path).count() == 0
+
+
+def test_every_csv_file_header_is_validated(spark):
+    # A second file with a reordered header in the same directory fails the scan:
+    # every file's header is checked, not only the first one.
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    path = scratch_uri(spark, "two-headers")
+    df = tables(spark, clean_lines(4))["sales_transactions"]
+    cols = df.columns
+    write_csv(df.limit(2).coalesce(1), path)
+    write_csv(df.select(cols[1], cols[0], *cols[2:]).coalesce(1), path, mode="append")
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        read_csv(spark, path, SALES_SCHEMA, check_columns=False).collect()

@@ -77,3 +77,20 @@ def test_reasons_match_brute_force(spark, lines):
     accepted = accepted_sales(t).count()
     assert accepted == sum(1 for reason in got if reason == "")
     assert checked_sales(t).where(F.col("quality_reason") != "").count() == len(got) - accepted
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.sampled_from([None, "A", "B", "C", "D"]), min_size=20, max_size=300),
+    st.integers(min_value=2, max_value=9),
+    st.randoms(use_true_random=False),
+)
+def test_split_rank_equals_window(spark, keys, buckets, rnd):
+    from salesmart.operators.dedup import SkewPolicy, rank_duplicates
+
+    order = rnd.sample(range(10_000), len(keys))  # unique source order
+    df = spark.createDataFrame(list(zip(keys, order)), "transaction_id string, _source_row_id long")
+    policy = SkewPolicy(sample_fraction=1.0, hot_rows=10, max_hot_keys=3, buckets=buckets, accuracy=100_000)
+    plain = {(r[0], r[1]): r[2] for r in rank_duplicates(df, skew=None).collect()}
+    split = {(r[0], r[1]): r[2] for r in rank_duplicates(df, skew=policy).collect()}
+    assert split == plain
