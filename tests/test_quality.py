@@ -192,3 +192,16 @@ def test_double_money_frames_with_nan_run_through(spark):
     row = metric_overview_daily(silver).collect()[0]
     assert math.isnan(row["net_revenue"]) and math.isnan(row["average_order_value"])
     assert row["order_line_count"] == 2 and row["gross_revenue"] == 200.0
+
+
+def test_ids_and_dimension_keys_are_not_normalised(spark):
+    # Padded transaction ids are different ids; a padded dimension key does not match;
+    # identity is the transaction id alone (different content, same id -> duplicate).
+    products = [(" P001", "Laptop", "electronics", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True),
+                ("P002", "Mouse", "electronics", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True)]
+    rows = [sale(tid="T1", product="P002"), sale(tid=" T1", product="P002"),
+            sale(tid="T2", product="P001"), sale(tid="T3", product="P002", qty=2),
+            sale(tid="T3", product="P002", qty=3)]
+    checked = checked_sales(tables(spark, rows, product_rows=products)).orderBy("_source_row_id").collect()
+    assert [(r["transaction_id"], r[QUALITY_REASON]) for r in checked] == [
+        ("T1", ""), (" T1", ""), ("T2", "unknown_product"), ("T3", ""), ("T3", "duplicate_transaction")]
