@@ -35,23 +35,24 @@ def normalize_sales(sales: DataFrame) -> DataFrame:
 
     Transaction and order ids are left exactly as read.
     """
-    return (
-        sales.withColumn("channel", canonical_code(F.col("channel")))
-        .withColumn("order_status", canonical_code(F.col("order_status")))
-        .withColumn("product_id", canonical_key(F.col("product_id")))
-        .withColumn("store_id", canonical_key(F.col("store_id")))
+    return sales.withColumns(
+        {
+            "channel": canonical_code(F.col("channel")),
+            "order_status": canonical_code(F.col("order_status")),
+            "product_id": canonical_key(F.col("product_id")),
+            "store_id": canonical_key(F.col("store_id")),
+        }
     )
 
 
 def add_realized_measures(df: DataFrame) -> DataFrame:
     """realized_* = the measure for paid lines, else zero (also for NULL status)."""
     paid = F.col("order_status") == PAID
-    return df.withColumn(
-        "realized_revenue",
-        F.when(paid, F.col("net_revenue")).otherwise(zero_of(df, "net_revenue")),
-    ).withColumn(
-        "realized_margin",
-        F.when(paid, F.col("margin")).otherwise(zero_of(df, "margin")),
+    return df.withColumns(
+        {
+            "realized_revenue": F.when(paid, F.col("net_revenue")).otherwise(zero_of(df, "net_revenue")),
+            "realized_margin": F.when(paid, F.col("margin")).otherwise(zero_of(df, "margin")),
+        }
     )
 
 
