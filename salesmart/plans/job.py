@@ -37,7 +37,7 @@ from salesmart.plans.gold import build_gold_tables
 from salesmart.plans.silver import checked_sales, to_silver
 from salesmart.schemas import SCHEMAS, TABLE_NAMES
 from salesmart.session import scratch_uri
-from salesmart.sources.files import read_csv, read_parquet, release, write_json_rows, write_parquet
+from salesmart.sources.files import read_csv, release, write_json_rows, write_parquet
 from salesmart.sources.layout import Layout
 
 ACCEPTED = "accepted"
@@ -55,13 +55,14 @@ def load_raw_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]
 
 
 def stage_checked(spark: SparkSession, checked: DataFrame, staging_uri: str) -> DataFrame:
-    """Write the checked lines once (partitioned by ``accepted``) and read them back."""
-    write_parquet(
-        checked.withColumn(ACCEPTED, F.col(QUALITY_REASON) == ""),
-        staging_uri,
-        partition_by=[ACCEPTED],
-    )
-    return read_parquet(spark, staging_uri)
+    """Write the checked lines once (partitioned by ``accepted``) and read them back.
+
+    The read uses the written schema, so an empty result (no data files to
+    infer from) reads back as an empty table rather than failing.
+    """
+    flagged = checked.withColumn(ACCEPTED, F.col(QUALITY_REASON) == "")
+    write_parquet(flagged, staging_uri, partition_by=[ACCEPTED])
+    return spark.read.schema(flagged.schema).parquet(staging_uri)
 
 
 def _accepted() -> Column:

@@ -139,3 +139,14 @@ def test_every_csv_file_header_is_validated(spark):
     write_csv(df.select(cols[1], cols[0], *cols[2:]).coalesce(1), path, mode="append")
     with pytest.raises((Py4JJavaError, PySparkException)):
         read_csv(spark, path, SALES_SCHEMA, check_columns=False).collect()
+
+
+def test_job_on_empty_sales(spark):
+    base = scratch_uri(spark, "empty-job")
+    layout = Layout(f"{base}/raw", f"{base}/warehouse")
+    t = tables(spark, [])
+    write_raw_dataset(spark, t, layout, order_by=[], sales_files=1)
+    report = run(spark, layout)
+    assert (report["input_rows"], report["accepted_rows"], report["rejected_rows"]) == (0, 0, 0)
+    assert report["rejection_reasons"] == {}
+    assert spark.read.parquet(layout.gold_path("metric_overview_daily")).count() == 0
