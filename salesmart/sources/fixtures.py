@@ -17,7 +17,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.operators.defects import inject_quality_issues
+from salesmart.operators.defects import inject_quality_issues, require_rows
 from salesmart.operators.report import REPORT_TIMEZONE
 from salesmart.schemas import SCHEMAS
 from salesmart.sources import retailview as rv
@@ -106,6 +106,7 @@ def build_raw_dataset(
     tables = rv.raw_tables(spark, sf_dir)
     if inject_defects:
         sales = tables["sales_transactions"]
+        require_rows(sales, 3)  # reads at most 3 lines
         start = sales.agg(F.min("transaction_date").alias("start"))
         tables["sales_transactions"] = inject_quality_issues(
             sales, ["transaction_id", *rv.SOURCE_ORDER], start

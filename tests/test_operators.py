@@ -91,3 +91,14 @@ def test_pattern_shares_sum_to_one(spark):
     ]:
         for r in df.groupBy(*frame).agg(F.sum("share").alias("s")).collect():
             assert abs(r["s"] - 1.0) < 1e-9
+
+
+def test_injection_needs_three_lines(spark):
+    import pytest
+
+    from salesmart.operators.defects import NotEnoughRows, require_rows
+
+    sales = tables(spark, clean_lines(2))["sales_transactions"]
+    with pytest.raises(NotEnoughRows):
+        require_rows(sales, 3)
+    require_rows(tables(spark, clean_lines(3))["sales_transactions"], 3)
