@@ -1,5 +1,5 @@
 """DuckDB oracle SQL for the query catalog (used by the correctness gate)."""
 
-from oracle.queries import oracle_queries
+from duckdb_oracle.queries import oracle_queries
 
 __all__ = ["oracle_queries"]
