@@ -4,8 +4,10 @@ The raw sales lines, products, stores and calendar are derived from the
 TPC-H-like ``lineitem / orders / part / supplier / nation / region``
 tables by the mapping documented in FIXTURES.md section 2: one sales line
 per lineitem row, with deterministic defects keyed on the source keys so
-that every quality rule fires. Everything is a lazy DataFrame that grows
-with the input tables.
+that every quality rule fires. The key moduli below only choose which
+lines carry a defect value; no line is ever filtered out, so every query
+covers the whole tables. Everything is a lazy DataFrame that grows with
+the input tables.
 
 Source order: the raw CSV of a real run has a file order (the ingest
 ``_source_row_id``); these tables have none, so the first copy of a
