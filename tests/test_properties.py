@@ -94,3 +94,39 @@ def test_split_rank_equals_window(spark, keys, buckets, rnd):
     plain = {(r[0], r[1]): r[2] for r in rank_duplicates(df, skew=None).collect()}
     split = {(r[0], r[1]): r[2] for r in rank_duplicates(df, skew=policy).collect()}
     assert split == plain
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(
+    st.integers(min_value=1, max_value=60),
+    st.decimals(min_value=Decimal("0.01"), max_value=Decimal("9999.99"), places=2),
+    st.sampled_from([Decimal(x) for x in ("0", "5", "12.5", "15", "33.33", "45")]),
+    st.decimals(min_value=Decimal("0.00"), max_value=Decimal("5000.00"), places=2),
+    st.sampled_from(["paid", "cancelled", " Cancelled "]),
+), min_size=1, max_size=30))
+def test_line_measures_match_decimal_half_up(spark, lines):
+    from decimal import ROUND_HALF_UP
+
+    from salesmart.operators.normalize import line_measures
+
+    cent = Decimal("0.01")
+
+    def r(x):
+        return x.quantize(cent, rounding=ROUND_HALF_UP)
+
+    df = spark.createDataFrame(
+        [(i, *x) for i, x in enumerate(lines)],
+        "i int, q int, price decimal(18,2), disc decimal(18,2), cost decimal(18,2), status string",
+    )
+    got = {row["i"]: row for row in df.select(
+        "i", *line_measures(F.col("q"), F.col("price"), F.col("disc"), F.col("cost"), F.col("status"))).collect()}
+    for i, (q, price, disc, cost, status) in enumerate(lines):
+        gross = r(q * price)
+        net = r(gross * (100 - disc) / 100)
+        total = r(q * cost)
+        margin = r(net - total)
+        cancelled = status.strip().lower() == "cancelled"
+        row = got[i]
+        assert (row["gross_revenue"], row["total_cost"]) == (gross, total)
+        assert row["net_revenue"] == (Decimal("0.00") if cancelled else net)
+        assert row["margin"] == (Decimal("0.00") if cancelled else margin)
