@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, decontamination, html_text, near_dedup, pii, quality
-from salesmart.llm import secret_scan, sharding
+from salesmart.llm import bpe, decontamination, html_text, licenses, lm_scoring, near_dedup
+from salesmart.llm import pii, quality, secret_scan, sharding
 from salesmart.llm.common import read_table
 
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_documents(spark, sf_dir))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(_documents(spark, sf_dir))
 
@@ -49,8 +53,13 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_secret_scan": op2_secret_scan,
         "op3_bpe": op3_bpe,
         "op4_decontamination": op4_decontamination,
@@ -59,6 +68,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_html_text": op7_html_text,
         "op8_quality": op8_quality,
         "op9_near_dedup": op9_near_dedup,
+        "op10_license_scan": op10_license_scan,
     }
 
 
@@ -68,7 +78,7 @@ WITH docs AS (
   FROM documents
 ),
 words AS (
-  SELECT rid, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM docs
+  SELECT rid, [x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM docs
 ),
 grams AS (
   SELECT rid, i, list_slice(ws, i, i + 7) AS gram
@@ -100,12 +110,12 @@ frequent AS (
 ),
 removed AS (
   SELECT rid, count(*) AS n_removed_lines,
-         sum(len(list_filter(regexp_split_to_array(norm, ' '), x -> x <> ''))) AS n_removed_words
+         sum(len(regexp_split_to_array(norm, ' '))) AS n_removed_words
   FROM lines JOIN frequent USING (host, norm) GROUP BY rid
 ),
 stats AS (
   SELECT doc_id, len(ws) AS n_words,
-         CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(length(array_to_string(ws, '')), 0) AS BIGINT) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          coalesce(n_dup_lines, 0) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words,
