@@ -39,7 +39,9 @@ BANDS = 32
 ROWS = 6
 SHINGLE_WORDS = 3
 PERCENT = 85
+#: Bounds of one block of sets: how many, and their shingles in all (a larger single set is a block).
 BLOCK_SETS = 256
+BLOCK_SHINGLES = 250_000
 MEMO_WORDS = 300_000
 #: How many documents' results a Python worker holds before it hands them on.
 BATCH_ROWS = 1000
@@ -213,8 +215,8 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _star_edges(members: DataFrame, percent: int) -> DataFrame:
-    """``members (bucket, node, n, mates)`` to distinct ``(a, b)``: member and hub of a shared bucket."""
+def _stars(members: DataFrame) -> DataFrame:
+    """``members (bucket, node, n, mates)`` to distinct ``(a, n, b, n_b)``: member and hub of a shared bucket."""
     central = members.groupBy("node").agg(F.sum("mates").alias("central"))
     hubs = (
         members.join(central, "node")
@@ -225,8 +227,7 @@ def _star_edges(members: DataFrame, percent: int) -> DataFrame:
     return (
         members.join(hubs, "bucket")
         .where(F.col("node") != F.col("b"))
-        .where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
-        .select(F.col("node").alias("a"), "b")
+        .select(F.col("node").alias("a"), "n", "b", "n_b")
         .distinct()
     )
 
@@ -237,18 +238,118 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
 
 
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left set with every right set."""
+
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+    (x, x_row), (y, y_row) = flat(left), flat(right)
+    both = np.intersect1d(x, y)
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(both), 8192):
+        part = both[at : at + 8192]
+        sides = []
+        for values, rows, count in ((x, x_row, len(left)), (y, y_row, len(right))):
+            place = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[place] == values
+            table = np.zeros((count, len(part)), np.float32)
+            table[rows[hit], place[hit]] = 1
+            sides.append(table)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _forest(alike: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join what the true cells of ``alike`` join, at most one for each row and column."""
+    big = np.iinfo(np.int64).max
+    rows = np.where(alike.any(axis=1), left, big)
+    columns = np.where(alike.any(axis=0), right, big)
+    while True:
+        down = np.minimum(columns, np.where(alike, rows[:, None], big).min(axis=0, initial=big))
+        across = np.minimum(rows, np.where(alike, down[None, :], big).min(axis=1, initial=big))
+        if (down == columns).all() and (across == rows).all():
+            break
+        rows, columns = across, down
+    pairs = [*zip(left.tolist(), rows.tolist()), *zip(right.tolist(), columns.tolist())]
+    return [(a, b) for a, b in pairs if b != big and a != b]
+
+
+def _block_links(pairs: DataFrame, percent: int) -> DataFrame:
+    """``pairs (u, s)`` of blocks ``array<struct<a, shingles>>`` to links that connect what is alike."""
+
+    def side(block: list[dict]) -> tuple[np.ndarray, list[np.ndarray]]:
+        return (
+            np.array([x["a"] for x in block], np.int64),
+            [np.frombuffer(x["shingles"], np.uint64) for x in block],
+        )
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (u, u_sets), (s, s_sets) = (side(batch.column(c)[k].as_py()) for c in ("u", "s"))
+                shared = _shared_counts(u_sets, s_sets)
+                sizes = [np.array([len(x) for x in y]) for y in (u_sets, s_sets)]
+                alike = _alike(shared, sizes[0][:, None], sizes[1][None, :], percent)
+                alike &= u[:, None] != s[None, :]
+                links = _forest(alike, u, s)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[j] for x in links], pa.int64()) for j in (0, 1)], names=["a", "b"]
+                )
+
+    return map_batches(pairs, run, "a long, b long")
+
+
+def _open_star_links(stars: DataFrame, checked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one star of which the hub did not confirm at least one."""
+    members = stars.join(checked, ["a", "b"], "left").select(
+        "a", "b", "n", F.coalesce("alike", F.lit(False)).alias("confirmed")
+    )
+    hubs = (
+        members.groupBy("b")
+        .agg(
+            F.greatest(
+                F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)
+            ).alias("blocks"),
+            F.count("*").alias("size"),
+            F.count_if(~F.col("confirmed")).alias("open"),
+        )
+        .where("open > 0 and size > 1")
+    )
+    placed = _written(
+        members.join(hubs, "b").select(
+            "a", "b", "confirmed", F.expr("pmod(xxhash64(a), blocks)").alias("block")
+        ),
+        "open-stars",
+    )
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        return (
+            rows.join(sets, rows.a == sets.node)
+            .groupBy("b", "block")
+            .agg(F.collect_list(F.struct("a", "shingles")).alias(name))
+            .select("b", name)
+        )
+
+    return _block_links(
+        blocks(placed.where(~F.col("confirmed")), "u").join(blocks(placed, "s"), "b").select("u", "s"),
+        percent,
+    )
+
+
 def class_links(
     docs: DataFrame, classes: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """Confirmed links ``(a, b)`` between classes ``(set_key, n_shingles, rep, bands)``."""
+    """Links ``(a, b)`` that join all classes ``(set_key, n_shingles, rep, bands)`` found alike."""
     rows = classes.select(
         F.explode("bands").alias("bucket"), F.col("set_key").alias("node"), F.col("n_shingles").alias("n")
     )
     shared = rows.groupBy("bucket").agg(F.count("*").alias("mates")).where("mates > 1")
     members = _written(rows.join(shared, "bucket").select("bucket", "node", "n", "mates"), "bucket-members")
-    edges = _written(_star_edges(members, percent), "star-edges")
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    wanted = classes.join(nodes.withColumnRenamed("node", "set_key"), "set_key", "left_semi")
+    stars = _written(_stars(members), "stars")
+    edges = stars.where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent).select("a", "b")
+    nodes = stars.select(F.col("a").alias("set_key")).union(stars.select("b")).distinct()
+    wanted = classes.join(nodes, "set_key", "left_semi")
     texts = docs.join(
         _written(wanted.select(F.col("rep").alias("doc_id")), "candidate-ids"), "doc_id", "left_semi"
     )
@@ -257,7 +358,8 @@ def class_links(
         "candidate-sets",
     )
     checked = _written(_confirm(_with_sets(edges, sets), percent), "checked-edges")
-    return checked.where("alike").select("a", "b")
+    more = _open_star_links(stars, checked, sets, percent)
+    return _written(checked.where("alike").select("a", "b").union(more), "links")
 
 
 RESULT = "doc_id long, n_shingles long, component_id long, kept boolean"
