@@ -11,9 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Java regex of one run of word separators; a word is a run of anything else.
-SEPARATORS = r"[\x20\x09-\x0D]+"
-#: The same six characters, for ``btrim`` and ``translate``.
+#: The word separators; a word is a run of anything else.
 SEPARATOR_CHARS = " \t\n\x0b\x0c\r"
 
 
@@ -21,21 +19,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text as an array (null text: none)."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once for each row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z to a-z, other letters as they are."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def ship_package(spark: SparkSession) -> None:
     """Sends this package's modules to the Python workers, once for each Spark context."""
     sc = spark.sparkContext

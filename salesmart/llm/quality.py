@@ -2,7 +2,7 @@
 
 Within a document: word and symbol counts, repeated lines, and the words that
 lie in 8-word windows found twice or more. Across documents: every line is
-normalised (A-Z lower-cased, separator runs to one space, trimmed) and hashed;
+normalised (separator runs to one space, trimmed) and hashed;
 for each host the distinct *texts* that hold a line are counted, so exact
 copies of one document count once. A line held by more than ``max_share`` of a
 host's distinct texts and by more than ``min_texts`` of them is boilerplate. A
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import SEPARATOR_CHARS, SEPARATORS, let, lower_ascii, words_of
+from salesmart.llm.common import SEPARATOR_CHARS, let
 from salesmart.session import scratch_uri
 
 MIN_WORDS = 20
@@ -32,20 +32,13 @@ WINDOW = 8
 MAX_SHARE = 0.2
 MIN_TEXTS = 25
 
-_SEPARATORS_SQL = "' \\t\\n\\u000b\\f\\r'"
-
 
 def _is_blank(line: Column) -> Column:
     return F.btrim(line, F.lit(SEPARATOR_CHARS)) == F.lit("")
 
 
-def _normal_line(line: Column) -> Column:
-    trimmed = F.btrim(line, F.lit(SEPARATOR_CHARS))
-    return lower_ascii(F.regexp_replace(trimmed, SEPARATORS, " "))
-
-
-def _window_starts(grams: Column) -> Column:
-    """Ascending positions of the windows whose hash occurs twice or more."""
+def _repeated_starts(grams: Column) -> Column:
+    """Ascending positions of the hashes that occur twice or more."""
     pairs = F.sort_array(F.transform(grams, lambda h, p: F.struct(h.alias("h"), p.alias("p"))))
 
     def repeated(s: Column) -> Column:
@@ -76,43 +69,59 @@ def document_stats(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``
     (long) and ``base_failed`` (boolean). A null or empty text has no words
     and fails. Repeated rows each keep their row.
+
+    A step refers to the array of the step before more than once, so that
+    the optimiser keeps the steps apart and computes every array once.
     """
+    kept = [F.col(c) for c in keep]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(
-        *[F.col(c) for c in keep],
-        words_of(text).alias("_words"),
-        (F.char_length(text) - F.char_length(F.regexp_replace(text, r"[#*$%&|<>]", "")))
-        .cast("long")
-        .alias("n_symbols"),
-        let(
-            F.filter(F.split(text, "\n"), lambda x: ~_is_blank(x)),
-            lambda ls: F.size(ls) - F.size(F.array_distinct(ls)),
-        )
-        .cast("long")
-        .alias("n_dup_lines"),
+    # separators other than space and line feed, and symbols: few texts have any
+    odd = F.col("_text").rlike(r"[\x09\x0B-\x0D#*$%&|<>]")
+    chars = F.char_length("_text")
+    symbols = chars - F.char_length(F.regexp_replace("_text", r"[#*$%&|<>]", ""))
+    plain = F.when(odd, F.regexp_replace("_text", r"[\x09\x0B-\x0D]", " ")).otherwise(F.col("_text"))
+    dup_lines = let(
+        F.filter(F.split("_text", "\n"), lambda x: ~_is_blank(x)),
+        lambda ls: F.size(ls) - F.size(F.array_distinct(ls)),
     )
-    n = F.size("_words")
-    grams = F.when(
-        n >= WINDOW,
-        F.transform(
-            F.sequence(F.lit(1), n - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(F.col("_words"), i, F.lit(WINDOW))),
-        ),
+    pieces = docs.select(*kept, text.alias("_text")).select(
+        *kept,
+        F.when(odd, symbols).otherwise(F.lit(0)).cast("long").alias("n_symbols"),
+        dup_lines.cast("long").alias("n_dup_lines"),
+        chars.alias("_chars"),
+        F.split(F.replace(plain, F.lit("\n"), F.lit(" ")), " ").alias("_pieces"),
     )
-    counted = base.select(
-        *[F.col(c) for c in keep],
+    has_empty = F.array_contains("_pieces", "")
+    words = pieces.select(
+        *kept,
         "n_symbols",
         "n_dup_lines",
-        n.cast("long").alias("n_words"),
-        F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        grams.alias("_grams"),
+        # every separator is a cut between two pieces
+        (F.col("_chars") - (F.size("_pieces") - 1)).cast("long").alias("word_chars"),
+        F.when(has_empty, F.array_remove("_pieces", "")).otherwise(F.col("_pieces")).alias("_words"),
     )
+    done = [*kept, "n_symbols", "n_dup_lines", "word_chars", "n_words"]
+    grams = words.select(
+        *done[:-1],
+        F.size("_words").cast("long").alias("n_words"),
+        F.size("_words").alias("_n"),
+        F.when(F.size("_words") >= WINDOW, F.transform("_words", lambda w: F.xxhash64(w))).alias("_grams"),
+    )
+    for step in (1, 2, 4):  # hashes of 2, 4 and 8 consecutive words
+        later = F.slice("_grams", F.lit(step + 1), F.col("_n"))
+        grams = grams.select(
+            *done,
+            F.greatest(F.size("_grams") - step, F.lit(0)).alias("_n"),
+            F.slice(
+                F.zip_with("_grams", later, lambda x, y: F.xxhash64(x, y)), F.lit(1), F.size("_grams") - step
+            ).alias("_grams"),
+        )
     repeat = F.when(
         F.size("_grams") > F.size(F.array_distinct("_grams")),
-        _covered_words(_window_starts(F.col("_grams"))),
+        _covered_words(_repeated_starts(F.col("_grams"))),
     ).otherwise(F.lit(0))
-    return counted.select(
-        *[F.col(c) for c in keep],
+    return grams.select(
+        *kept,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -125,20 +134,32 @@ def document_stats(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...
     )
 
 
-def _line_hashes(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: ~_is_blank(x))
-    return F.transform(
-        lines,
-        lambda x: F.struct(
-            F.xxhash64(_normal_line(x)).alias("h"), F.size(words_of(x)).alias("w")
-        ),
-    )
+def _normal_lines(text: Column) -> Column:
+    """The lines with a word, trimmed, runs of separators as one space."""
+    text = F.coalesce(text, F.lit(""))
+    loose = text.rlike(r"\x20\x20|[\x09\x0B-\x0D]")
+    even = F.when(loose, F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")).otherwise(text)
+    return F.array_remove(F.transform(F.split(even, "\n"), lambda x: F.btrim(x)), "")
 
 
 def _host(host_col: str) -> Column:
     return F.coalesce(F.col(host_col), F.lit(""))
 
 
+def _boilerplate(text: Column, hashes: Column) -> Column:
+    """The normalised lines of a text whose hash is listed (none for a null list)."""
+    return F.when(
+        hashes.isNotNull(),
+        F.filter(_normal_lines(text), lambda x: F.array_contains(hashes, F.xxhash64(x))),
+    )
+
+
+def _line_words(lines: Column) -> Column:
+    """Words of normalised lines in all; 0 for null."""
+    total = F.aggregate(lines, F.lit(0), lambda acc, x: acc + F.size(F.split(x, " ")))
+    return F.coalesce(total, F.lit(0))
+
+
 def frequent_lines(
     docs: DataFrame,
     text_col: str = "text",
@@ -155,7 +176,7 @@ def frequent_lines(
     rows = docs.select(
         _host(host_col).alias("host"),
         F.xxhash64(text, F.lit(1)).alias("text_hash"),
-        F.array_distinct(F.transform(_line_hashes(text), lambda x: x["h"])).alias("hashes"),
+        F.array_distinct(F.transform(_normal_lines(text), lambda x: F.xxhash64(x))).alias("hashes"),
     )
     texts = (
         rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
@@ -203,40 +224,17 @@ def quality_rules(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(host_col).alias("source")
     )
     frequent = written_frequent_lines(source, max_share=max_share, min_texts=min_texts)
-    with_lines = source.select(
+    hosted = source.select("doc_id", "text", _host("source").alias("host")).join(frequent, "host", "left")
+    marked = hosted.select("doc_id", "text", _boilerplate(F.col("text"), F.col("lines")).alias("_removed"))
+    counted = marked.select(
         "doc_id",
         "text",
-        _host("source").alias("host"),
-        _line_hashes(F.coalesce("text", F.lit(""))).alias("_lines"),
+        F.greatest(F.coalesce(F.size("_removed"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed_lines"),
+        _line_words(F.col("_removed")).cast("long").alias("n_removed_words"),
     )
-    stats = document_stats(with_lines, keep=("doc_id", "host", "_lines"))
-    joined = stats.join(frequent, "host", "left")
-    removed = F.filter(
-        "_lines", lambda x: F.coalesce(F.array_contains(F.col("lines"), x["h"]), F.lit(False))
-    )
-    return (
-        joined.withColumn("_removed", F.when(F.col("lines").isNotNull(), removed))
-        .select(
-            "doc_id",
-            "n_words",
-            "word_chars",
-            "n_symbols",
-            "n_dup_lines",
-            "n_repeat_words",
-            "base_failed",
-            F.greatest(F.coalesce(F.size("_removed"), F.lit(0)), F.lit(0))
-            .cast("long")
-            .alias("n_removed_lines"),
-            F.coalesce(
-                F.aggregate("_removed", F.lit(0), lambda acc, x: acc + x["w"]), F.lit(0)
-            )
-            .cast("long")
-            .alias("n_removed_words"),
-        )
-        .withColumn(
-            "kept",
-            ~F.col("base_failed") & (F.col("n_words") - F.col("n_removed_words") >= MIN_WORDS),
-        )
+    return document_stats(counted, keep=("doc_id", "n_removed_lines", "n_removed_words")).withColumn(
+        "kept",
+        ~F.col("base_failed") & (F.col("n_words") - F.col("n_removed_words") >= MIN_WORDS),
     )
 
 
@@ -251,17 +249,9 @@ def keep_good_documents(
     frequent = written_frequent_lines(
         docs, text_col=text_col, host_col=host_col, max_share=max_share, min_texts=min_texts
     ).select(F.col("host").alias("_host"), F.col("lines").alias("_frequent"))
-    marked = docs.select(
-        *docs.columns,
-        _host(host_col).alias("_host"),
-        _line_hashes(F.coalesce(F.col(text_col), F.lit(""))).alias("_lines"),
-    )
-    stats = document_stats(marked, text_col, keep=(*docs.columns, "_host", "_lines"))
-    joined = stats.where(~F.col("base_failed")).join(frequent, "_host", "left")
-    removed_words = F.aggregate(
-        F.filter("_lines", lambda x: F.array_contains(F.col("_frequent"), x["h"])),
-        F.lit(0),
-        lambda acc, x: acc + x["w"],
-    )
-    left = F.col("n_words") - F.coalesce(removed_words, F.lit(0))
-    return joined.where(left >= MIN_WORDS).select(*docs.columns)
+    hosted = docs.select(*docs.columns, _host(host_col).alias("_host")).join(frequent, "_host", "left")
+    removed = _line_words(_boilerplate(F.col(text_col), F.col("_frequent")))
+    counted = hosted.select(*docs.columns, removed.alias("_removed_words"))
+    stats = document_stats(counted, text_col, keep=(*docs.columns, "_removed_words"))
+    left = F.col("n_words") - F.col("_removed_words")
+    return stats.where(~F.col("base_failed") & (left >= MIN_WORDS)).select(*docs.columns)

@@ -93,9 +93,8 @@ covered AS (
 ),
 lines AS (
   SELECT rid, host, t, line,
-         translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
-                   '[\x20\x09-\x0D]+', ' ', 'g'),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+         regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                        '[\x20\x09-\x0D]+', ' ', 'g') AS norm
   FROM (SELECT rid, host, t, unnest(string_split(t, chr(10))) AS line FROM docs)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ),
