@@ -395,8 +395,12 @@ def near_duplicates(
     linked = roots.join(reps, roots.node == reps.set_key).select("set_key", "root", "rep")
     least = linked.groupBy("root").agg(F.min("rep").alias("component"))
     joined = linked.join(least, "root").select("set_key", "component")
-    labels = reps.join(joined, "set_key", "left").select(
-        "set_key", F.coalesce("component", "rep").alias("component_id")
+    # written, so that the join with it below is a plain one whose hot keys can be split
+    labels = _written(
+        reps.join(joined, "set_key", "left").select(
+            "set_key", F.coalesce("component", "rep").alias("component_id")
+        ),
+        "labels",
     )
     return (
         sig.select("doc_id", "n_shingles", "set_key")
