@@ -7,7 +7,8 @@ leaves, each updated in logarithmic time, until the root is NONE.
 
 The vocabulary file (about 2 MB) is read once on the driver from a path given as
 parameter and sent to the tasks; texts never leave their task, no shuffle. Each
-Python worker keeps the ids of words it has met, at most MEMO_WORDS of them.
+Python worker keeps the ids of words, and of runs of text between spaces, that it
+has met, at most MEMO_WORDS of each.
 Letter and number classes are those of Python's Unicode tables; characters that
 only later Unicode versions assign may be cut otherwise than by other libraries.
 """
@@ -92,39 +93,36 @@ def merge_symbols(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, in
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
 
-    def put(leaf: int, value: int) -> None:
-        i = size + leaf
-        if tree[i] == value:
-            return
-        tree[i] = value
-        i >>= 1
-        while i:
-            a, b = tree[2 * i], tree[2 * i + 1]
-            value = a if a < b else b
-            if tree[i] == value:
-                return
-            tree[i] = value
-            i >>= 1
-
     while (root := tree[1]) != none:
         i = root & low
         j = following[i]
-        symbols[i] = get((symbols[i], symbols[j]))[1]
+        left = previous[i]
+        merged = symbols[i] = get((symbols[i], symbols[j]))[1]
         symbols[j] = -1
-        k = following[j]
-        following[i] = k
+        after = following[i] = following[j]
+        changed = []
         if j < n - 1:
-            put(j, none)
-        if k < n:
-            previous[k] = i
-            hit = get((symbols[i], symbols[k]))
-            put(i, hit[0] << shift | i if hit else none)
+            changed.append((j, none))
+        if after < n:
+            previous[after] = i
+            hit = get((merged, symbols[after]))
+            changed.append((i, hit[0] << shift | i if hit else none))
         else:
-            put(i, none)
-        h = previous[i]
-        if h >= 0:
-            hit = get((symbols[h], symbols[i]))
-            put(h, hit[0] << shift | h if hit else none)
+            changed.append((i, none))
+        if left >= 0:
+            hit = get((symbols[left], merged))
+            changed.append((left, hit[0] << shift | left if hit else none))
+        for leaf, value in changed:
+            k = size + leaf
+            # up from the leaf, as far as a minimum changes
+            while tree[k] != value:
+                tree[k] = value
+                if k == 1:
+                    break
+                other = tree[k ^ 1]
+                if other < value:
+                    value = other
+                k >>= 1
     return [s for s in symbols if s >= 0]
 
 
@@ -155,7 +153,8 @@ class WordBpe:
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
         self.words = word_pattern()
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # runs without spaces: words with what stands round them
+        self.word_memo: dict[str, bytes] = {}
 
     def word_ids(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
@@ -163,12 +162,18 @@ class WordBpe:
         symbols[-1] = self.last[raw[-1]]
         return merge_symbols(symbols, self.pairs)
 
+    def _word(self, word: str) -> bytes:
+        packed = array("I", self.word_ids(word)).tobytes()
+        if len(word) <= MEMO_CHARS:
+            if len(self.word_memo) >= MEMO_WORDS:
+                self.word_memo.clear()
+            self.word_memo[word] = packed
+        return packed
+
     def _piece(self, piece: str) -> bytes:
         """Ids of a run of text without spaces, as little-endian 32-bit integers."""
-        out = array("I")
-        for word in self.words.findall(piece):
-            out.extend(self.word_ids(word))
-        packed = out.tobytes()
+        known = self.word_memo.get
+        packed = b"".join([known(w) or self._word(w) for w in self.words.findall(piece)])
         if len(piece) <= MEMO_CHARS:
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
