@@ -89,8 +89,8 @@ li AS (
     CAST(o.o_orderdate AS DATE) AS odate, substr(o.o_orderpriority, 1, 1) AS prio,
     p.p_retailprice AS price
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
 ),
 li2 AS (
   SELECT *,
@@ -254,13 +254,31 @@ def oracle_queries() -> dict[str, str]:
       UNION ALL SELECT 'calendar', count(*), 1 FROM calendar""")
     types = {
         "transaction_date": "date", "quantity": "int",
-        **{c: "decimal(18,2)" for c in SALES if c in MONEY_COLUMNS},
+        **{c: "double" for c in SALES if c in MONEY_COLUMNS},
     }
     out["schema_contract"] = q(" UNION ALL ".join(
         f"SELECT CAST({i + 1} AS INTEGER) AS position, '{c}' AS column_name, "
         f"'{types.get(c, 'string')}' AS data_type, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM raw_sales"
         for i, c in enumerate(SALES)
     ))
+    out["csv_file_order_rank"] = q(
+        "SELECT transaction_id, product_id, quantity, CAST(gross_revenue AS DOUBLE) AS gross_revenue, "
+        "_duplicate_rank FROM ranked")
+    edge = {
+        c: f"CASE (_src_partkey + {k}) % 8 WHEN 0 THEN CAST(0.004 AS DOUBLE) WHEN 1 THEN CAST(-0.004 AS DOUBLE) "
+           f"WHEN 2 THEN CAST('NaN' AS DOUBLE) WHEN 3 THEN CAST(1e17 AS DOUBLE) WHEN 4 THEN CAST(1.005 AS DOUBLE) "
+           f"WHEN 5 THEN NULL ELSE CAST({c} AS DOUBLE) END"
+        for k, c in enumerate(("unit_price", "unit_cost", "net_revenue"))
+    }
+    out["csv_money_edge"] = q(f"""
+      SELECT transaction_id, product_id,
+        p IS NULL OR p <= 0 AS invalid_unit_price, c IS NULL OR c < 0 AS invalid_unit_cost,
+        coalesce(n < 0, false) AS invalid_net_revenue,
+        round(CASE WHEN isnan(p) THEN -1 ELSE p END * 1000) AS unit_price_mills,
+        round(CASE WHEN isnan(c) THEN -1 ELSE c END * 1000) AS unit_cost_mills,
+        round(CASE WHEN isnan(n) THEN -1 ELSE n END * 1000) AS net_revenue_mills
+      FROM (SELECT transaction_id, product_id, {edge['unit_price']} AS p, {edge['unit_cost']} AS c,
+              {edge['net_revenue']} AS n FROM raw_sales)""")
     out["source_row_id"] = q("SELECT count(*) AS row_count, count(*) AS distinct_ids FROM raw_sales")
     out["normalize_text"] = q(
         f"SELECT {', '.join(ROW_ID)}, channel, order_status, product_id, store_id FROM normalized")
@@ -331,11 +349,13 @@ def oracle_queries() -> dict[str, str]:
     out["inject_defects"] = qd(f"SELECT {pub(SALES + SRC)} FROM with_defects")
     out["check_order_metadata"] = q("""
       SELECT * FROM (
-        SELECT order_id, count(DISTINCT transaction_date) AS transaction_date_values,
-          count(DISTINCT store_id) AS store_id_values, count(DISTINCT channel) AS channel_values,
-          count(DISTINCT order_status) AS order_status_values
+        SELECT order_id,
+          count(DISTINCT transaction_date) + max(CAST(transaction_date IS NULL AS INTEGER)) > 1 AS transaction_date_differs,
+          count(DISTINCT store_id) + max(CAST(store_id IS NULL AS INTEGER)) > 1 AS store_id_differs,
+          count(DISTINCT channel) + max(CAST(channel IS NULL AS INTEGER)) > 1 AS channel_differs,
+          count(DISTINCT order_status) + max(CAST(order_status IS NULL AS INTEGER)) > 1 AS order_status_differs
         FROM raw_sales GROUP BY order_id)
-      WHERE transaction_date_values > 1 OR store_id_values > 1 OR channel_values > 1 OR order_status_values > 1""")
+      WHERE transaction_date_differs OR store_id_differs OR channel_differs OR order_status_differs""")
     out["order_line_histogram"] = q("""
       SELECT lines_per_order, count(*) AS order_count
       FROM (SELECT order_id, count(*) AS lines_per_order FROM raw_sales GROUP BY order_id)
@@ -361,4 +381,8 @@ def oracle_queries() -> dict[str, str]:
     out["pattern_channel_share_monthly"] = q(_share_body(["year", "month", "channel"], ["year", "month"]))
     out["pattern_category_share_monthly"] = q(
         _share_body(["year", "month", "season", "category"], ["year", "month"]))
+    out["pattern_category_share_season"] = q(_share_body(["season", "category"], ["season"]))
+    for name in ("metric_overview_daily", "sales_by_product_daily", "sales_by_category_daily",
+                 "sales_by_city_daily", "sales_by_channel_daily"):
+        out[f"sql_{name}"] = out[name]
     return out

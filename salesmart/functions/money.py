@@ -1,16 +1,16 @@
 """Money expressions.
 
-Money is DECIMAL(18,2) from the raw view on: sums are exact, and the
-public output is the rounded sum cast to DOUBLE last. Ratios of money to
-counts are rounded half-up in integer cents, which is exact for the
-non-negative sums the quality rules guarantee.
+Sums are exact: DECIMAL money adds up as it is, DOUBLE money through a wide
+DECIMAL of its shortest decimal text, and the public output is the rounded
+sum cast to DOUBLE last. A group that holds NaN, an infinity or an amount
+beyond the wide DECIMAL gets the plain DOUBLE sum, so NaN stays NaN.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DoubleType, FloatType
 
 from salesmart.schemas import MONEY
 
@@ -26,10 +26,42 @@ def zero_of(df: DataFrame, column: str) -> Column:
     return F.lit(0).cast(data_type)
 
 
-def rounded_sum(col: Column | str) -> Column:
-    """ROUND(SUM(x), 2) as DOUBLE; the sum is exact for DECIMAL input."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.round(F.sum(c), 2).cast("double")
+#: Wide enough for any amount below WIDE_LIMIT, with room to add up.
+WIDE = "decimal(38,8)"
+WIDE_LIMIT = 1e20
+
+
+def is_exact(df: DataFrame, column: str) -> bool:
+    """Whether the column adds up exactly as it is (DECIMAL and integers)."""
+    return not isinstance(df.schema[column].dataType, (DoubleType, FloatType))
+
+
+def _beyond(col: Column) -> Column:
+    """NaN, infinite or too large for the wide DECIMAL."""
+    return col.isNotNull() & (F.isnan(col) | (F.abs(col) >= WIDE_LIMIT))
+
+
+def wide_sum(df: DataFrame, column: str) -> Column:
+    """The exact sum of the amounts that fit the wide DECIMAL."""
+    c = F.col(column)
+    return F.sum(F.when(~_beyond(c), c).cast(WIDE))
+
+
+def rounded_sum(df: DataFrame, column: str) -> Column:
+    """ROUND(SUM(x), 2) as DOUBLE; see the module docstring for DOUBLE columns."""
+    c = F.col(column)
+    if is_exact(df, column):
+        return F.round(F.sum(c), 2).cast("double")
+    exact = F.round(wide_sum(df, column), 2).cast("double")
+    return F.when(F.count_if(_beyond(c)) > 0, F.round(F.sum(c), 2)).otherwise(exact)
+
+
+def rounded_mean(df: DataFrame, column: str, count: Column) -> Column:
+    """ROUND(SUM(x) / count, 2) of a DOUBLE column, the sum as in ``rounded_sum``; 0 for no rows."""
+    c = F.col(column)
+    exact = F.round(wide_sum(df, column) / count, 2).cast("double")
+    plain = F.round(F.sum(c) / count, 2)
+    return F.when(count == 0, F.lit(0.0)).when(F.count_if(_beyond(c)) > 0, plain).otherwise(exact)
 
 
 def cents(col: Column | str) -> Column:

@@ -20,18 +20,19 @@ def order_metadata_conflicts(
 ) -> DataFrame:
     """Orders whose lines disagree on an order-level attribute.
 
-    One row per such order with the number of distinct values of each
-    attribute (NULLs not counted). A grouped aggregate: partial counts are
-    combined before the shuffle, so a very large order is no hot spot.
+    One row per such order, saying for each attribute whether its lines
+    differ; NULL against a value is a difference, as for whole rows. One
+    grouped minimum and maximum of a one-field struct (which orders NULL
+    like a value): combined before the shuffle, so a very large order is no
+    hot spot.
     """
-    counts = sales.groupBy(key).agg(
-        *[F.count_distinct(c).alias(f"{c}_values") for c in shared]
+    ends = sales.groupBy(key).agg(
+        *[end(F.struct(c)).alias(f"_{name}_{c}") for c in shared for name, end in (("min", F.min), ("max", F.max))]
     )
-    condition = None
-    for c in shared:
-        part = F.col(f"{c}_values") > 1
-        condition = part if condition is None else condition | part
-    return counts.where(condition)
+    differs = ends.select(
+        key, *[(~F.col(f"_min_{c}").eqNullSafe(F.col(f"_max_{c}"))).alias(f"{c}_differs") for c in shared]
+    )
+    return differs.where(F.greatest(*[F.col(f"{c}_differs") for c in shared]))
 
 
 def order_line_histogram(sales: DataFrame, key: str = "order_id") -> DataFrame:
@@ -43,11 +44,14 @@ def order_line_histogram(sales: DataFrame, key: str = "order_id") -> DataFrame:
 def dataset_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows (with multiplicity) present on one side only; empty when equal.
 
-    ``exceptAll`` both ways; the result carries a ``side`` column
-    (``left_only`` / ``right_only``) before the compared columns.
+    One grouped sum of +1 (left) and -1 (right) over all columns, so each
+    side is read once and shuffled once, combined before the shuffle; the
+    result carries a ``side`` column (``left_only`` / ``right_only``) before
+    the compared columns, a row for each surplus copy.
     """
     cols = left.columns
-    right = right.select(*cols)
-    left_only = left.exceptAll(right).select(F.lit("left_only").alias("side"), *cols)
-    right_only = right.exceptAll(left).select(F.lit("right_only").alias("side"), *cols)
-    return left_only.unionByName(right_only)
+    signed = left.withColumn("_n", F.lit(1)).unionByName(right.select(*cols).withColumn("_n", F.lit(-1)))
+    surplus = signed.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n != 0")
+    side = F.when(F.col("_n") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n")))
+    return surplus.select(side.alias("side"), *cols, copies.alias("_copy")).drop("_copy")

@@ -1,68 +1,51 @@
 """Keep-first de-duplication with rejects kept.
 
-``_duplicate_rank`` is ``row_number()`` over the transaction id ordered by
-the source order: the first copy gets 1, later copies > 1 and are rejected
+``_duplicate_rank`` is the row number over the transaction id in source
+order, as BIGINT: the first copy gets 1, later copies > 1 and are rejected
 as duplicates. The rank is computed before any validity rule, so an
 invalid first copy still makes the later copies duplicates.
 
 Hot keys. A plain window puts every copy of one id in one task; one id
 (NULL ids form one group) may hold a large share of all lines. With a
-``SkewPolicy`` the ranking splits such keys:
-
-1. Hot keys are estimated from a Bernoulli sample of the key column; at
-   most ``max_hot_keys`` of them (a bounded routing list).
-2. Per hot key, ``percentile_approx`` of the first source-order column
-   gives ``buckets - 1`` order boundaries (partial aggregation, so the hot
-   key itself is no hot spot here). A line's bucket is the number of
-   boundaries <= its value, which is monotone in the source order.
-3. Per (hot key, bucket) line counts give each bucket's rank offset.
-4. One window over (key, bucket) ranks every line; the rank is the local
-   row number plus the bucket offset, exactly ``row_number()`` over the key.
-
-Steps 1-3 return a few thousand control rows at most (keys x buckets) and
-are turned into literal broadcast tables, so a re-executed task routes and
-offsets every line exactly as the first attempt did. Normal keys take the
-single-shuffle window unchanged.
+``SkewPolicy`` every key is cut at some of its own lines:
+
+1. A line is a cut when a hash of its key and order columns is 0 modulo
+   ``rows_per_cut``: chosen by content, so every evaluation agrees. A key
+   with n lines has about n / rows_per_cut cuts, most keys have none.
+2. A line's bucket is the number of its key's cuts that are not after it in
+   the whole source order (searched in two levels of ``FAN`` and the rest).
+3. Per (key, bucket) line counts of the cut keys give rank offsets.
+4. One window over (key, bucket) numbers every line; the rank is that
+   number plus the bucket's offset: exactly the row number over the key.
+
+Everything is one lazy plan: nothing is collected, no key is left out and
+no count is capped. The cut and offset tables have about one row for every
+``rows_per_cut`` lines; Spark broadcasts them only below its size limit
+and splits skewed join partitions otherwise. Steps 1 and 3 read ``lines``,
+a frame of the key and order columns alone, so the caller can hand in a
+pruned scan instead of having the lines' joins evaluated again.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    DateType,
-    LongType,
-    NumericType,
-    StructField,
-    StructType,
-    TimestampNTZType,
-    TimestampType,
-)
 
 from salesmart.operators.normalize import SOURCE_ROW_ID
 
 DUPLICATE_RANK = "_duplicate_rank"
 TRANSACTION_KEY = "transaction_id"
+FAN = 512
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When and how a key is split across tasks for ranking."""
+    """How finely keys are cut for ranking: lines per cut, on average."""
 
-    # A key at the threshold shows ~hot_rows * sample_fraction = 2,000 times
-    # in the sample (Poisson sd ~45), so detection is reliable while the
-    # sample's grouped count stays a 0.1% side job.
-    sample_fraction: float = 0.001
-    hot_rows: int = 2_000_000  # estimated lines per key from which it is split
-    max_hot_keys: int = 1000  # bound of the routing list
-    buckets: int = 64  # order ranges per hot key
-    accuracy: int = 10_000  # percentile_approx accuracy
-    seed: int = 17
+    rows_per_cut: int = 500_000
 
 
 DEFAULT_SKEW = SkewPolicy()
@@ -74,35 +57,33 @@ def _order(order_by: Sequence[str]) -> list[Column]:
 
 def _plain_rank(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     window = Window.partitionBy(key).orderBy(*_order(order_by))
-    return df.withColumn(DUPLICATE_RANK, F.row_number().over(window))
-
-
-def find_hot_keys(df: DataFrame, key: str, policy: SkewPolicy) -> tuple[list, bool]:
-    """(hot non-NULL keys, whether NULL is hot), at most ``max_hot_keys`` in all."""
-    threshold = max(1, math.ceil(policy.hot_rows * policy.sample_fraction))
-    sample = df.select(key)
-    if policy.sample_fraction < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=policy.sample_fraction, seed=policy.seed)
-    rows = (
-        sample.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_sampled"))
-        .where(F.col("_sampled") >= threshold)
-        .orderBy(F.desc("_sampled"))
-        .limit(policy.max_hot_keys)
-        .collect()
+    return df.withColumn(DUPLICATE_RANK, F.row_number().over(window).cast("long"))
+
+
+def key_cuts(lines: DataFrame, key: str, order_by: Sequence[str], policy: SkewPolicy) -> DataFrame:
+    """``(_cut_key, _cuts, _coarse)``: the sorted order tuples of each cut key's cuts.
+
+    ``_coarse`` holds every FAN-th of them, for the first search level.
+    """
+    chosen = F.pmod(F.xxhash64(key, *order_by), F.lit(policy.rows_per_cut)) == 0
+    cuts = (
+        lines.where(chosen)
+        .groupBy(F.col(key).alias("_cut_key"))
+        .agg(F.sort_array(F.collect_set(F.struct(*order_by))).alias("_cuts"))
     )
-    keys = [r[key] for r in rows if r[key] is not None]
-    return keys, any(r[key] is None for r in rows)
+    return cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: i % FAN == 0))
 
 
-def _is_hot(key: str, keys: list, null_hot: bool) -> Column:
-    cond = F.coalesce(F.col(key).isin(*keys), F.lit(False)) if keys else F.lit(False)
-    return cond | F.col(key).isNull() if null_hot else cond
+def _bucket(order_by: Sequence[str]) -> Column:
+    """How many cuts are not after the line; 0 without cuts."""
+    place = F.struct(*order_by)
 
+    def not_after(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= place))
 
-def _splittable(df: DataFrame, column: str) -> bool:
-    t = df.schema[column].dataType
-    return isinstance(t, (NumericType, DateType, TimestampType, TimestampNTZType))
+    above = F.greatest(not_after(F.col("_coarse")) - 1, F.lit(0)) * FAN
+    inside = not_after(F.slice("_cuts", above + 1, F.lit(FAN)))
+    return F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(above + inside).cast("long")
 
 
 def rank_duplicates(
@@ -110,72 +91,40 @@ def rank_duplicates(
     key: str = TRANSACTION_KEY,
     order_by: Sequence[str] = (SOURCE_ROW_ID,),
     skew: SkewPolicy | None = None,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_duplicate_rank`` (1 = first copy in source order).
 
     ``order_by`` must be a total order inside a key so the rank is
-    deterministic under re-execution. NULL keys form one group (all but
-    the first NULL-key row are duplicates). With ``skew`` hot keys are
-    split as described in the module docstring.
+    deterministic under re-execution, and must be persisted values when
+    ``skew`` is given (the plan reads them more than once). NULL keys form
+    one group (all but the first NULL-key row are duplicates). ``lines``
+    holds the same key and order columns as ``df`` (default: ``df``).
     """
     order_by = list(order_by)
-    if skew is None or not _splittable(df, order_by[0]):
-        return _plain_rank(df, key, order_by)
-    keys, null_hot = find_hot_keys(df, key, skew)
-    if not keys and not null_hot:
+    if skew is None:
         return _plain_rank(df, key, order_by)
-    return _split_rank(df, key, order_by, keys, null_hot, skew)
-
+    lines = (df if lines is None else lines).select(key, *order_by)
+    cuts = key_cuts(lines, key, order_by, skew)
 
-def _split_rank(
-    df: DataFrame, key: str, order_by: list[str], keys: list, null_hot: bool, policy: SkewPolicy
-) -> DataFrame:
-    spark = df.sparkSession
-    first = order_by[0]
-    key_type = df.schema[key].dataType
-    first_type = df.schema[first].dataType
-    hot_rows = df.where(_is_hot(key, keys, null_hot)).select(key, first)
-
-    # 2. order boundaries per hot key (collected: <= max_hot_keys rows)
-    probs = [i / policy.buckets for i in range(1, policy.buckets)]
-    bounds_rows = (
-        hot_rows.groupBy(key)
-        .agg(F.percentile_approx(first, probs, policy.accuracy).alias("_bounds"))
-        .collect()
-    )
-    bounds = spark.createDataFrame(
-        [(r[key], r["_bounds"]) for r in bounds_rows],
-        StructType([StructField("_hot_key", key_type), StructField("_bounds", ArrayType(first_type))]),
-    )
+    def bucketed(frame: DataFrame, how: str) -> DataFrame:
+        joined = frame.join(cuts, F.col(key).eqNullSafe(F.col("_cut_key")), how)
+        return joined.withColumn("_bucket", _bucket(order_by)).drop("_cut_key", "_cuts", "_coarse")
 
-    def bucketed(frame: DataFrame) -> DataFrame:
-        joined = frame.join(F.broadcast(bounds), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-        bucket = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(
-            F.size(F.filter("_bounds", lambda b: b <= F.col(first)))
-        )
-        return joined.withColumn("_bucket", bucket).drop("_hot_key", "_bounds")
-
-    # 3. rank offset of every (hot key, bucket): lines in the key's lower buckets
-    per_bucket = bucketed(hot_rows).groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = bucketed(lines, "inner").groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     lower = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offset_rows = per_bucket.select(
-        key, "_bucket", F.coalesce(F.sum("_n").over(lower), F.lit(0)).cast("long").alias("_offset")
-    ).collect()
-    offsets = spark.createDataFrame(
-        [(r[key], r["_bucket"], r["_offset"]) for r in offset_rows],
-        StructType(
-            [StructField("_okey", key_type), StructField("_obucket", LongType()), StructField("_offset", LongType())]
-        ),
+    offsets = counts.select(
+        F.col(key).alias("_okey"),
+        F.col("_bucket").alias("_obucket"),
+        F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_offset"),
     )
-
-    # 4. one window over (key, bucket); rank = local row number + offset
-    local = bucketed(df).withColumn(
+    local = bucketed(df, "left").withColumn(
         "_local", F.row_number().over(Window.partitionBy(key, "_bucket").orderBy(*_order(order_by)))
     )
     ranked = local.join(
-        F.broadcast(offsets),
-        F.col(key).eqNullSafe(F.col("_okey")) & (F.col("_bucket").cast("long") == F.col("_obucket")),
-        "left",
+        offsets, F.col(key).eqNullSafe(F.col("_okey")) & (F.col("_bucket") == F.col("_obucket")), "left"
+    )
+    rank = F.col("_local").cast("long") + F.coalesce(F.col("_offset"), F.lit(0))
+    return ranked.withColumn(DUPLICATE_RANK, rank).drop(
+        "_bucket", "_local", "_okey", "_obucket", "_offset"
     )
-    rank = (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int")
-    return ranked.withColumn(DUPLICATE_RANK, rank).drop("_bucket", "_local", "_okey", "_obucket", "_offset")

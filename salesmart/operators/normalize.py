@@ -13,10 +13,12 @@ CANCELLED = "cancelled"
 
 
 def add_source_row_id(df: DataFrame) -> DataFrame:
-    """Ingest-order id: file order inside a split, split order across splits.
+    """Ingest-order id: ascending inside a split of a file.
 
     Computed once at ingest and persisted with the bronze table, so later
-    re-evaluations cannot change which copy of a transaction is first.
+    re-evaluations cannot change which copy of a transaction is first. Over
+    several files the order is (file, split start, this id): Spark packs
+    splits into tasks by size, so the id alone says nothing across splits.
     """
     return df.withColumn(SOURCE_ROW_ID, F.monotonically_increasing_id())
 

@@ -39,17 +39,25 @@ def category_share_event_window(silver: DataFrame) -> DataFrame:
 
 def weekend_effect(silver: DataFrame) -> DataFrame:
     """Per weekend flag and category: lines, share, and lines per calendar day."""
-    paid = paid_lines(silver)
-    counts = paid.groupBy("is_weekend", "category").agg(F.count(F.lit(1)).alias("line_count"))
-    days = paid.groupBy("is_weekend").agg(F.count_distinct("transaction_date").alias("day_count"))
-    joined = counts.join(days, "is_weekend")
-    return joined.select(
+    daily = (
+        paid_lines(silver)
+        .groupBy("is_weekend", "transaction_date", "category")
+        .agg(F.count(F.lit(1)).alias("line_count"))
+    )
+    flag = Window.partitionBy("is_weekend")
+    counts = (
+        daily.groupBy("is_weekend", "category")
+        .agg(F.sum("line_count").alias("line_count"), F.collect_set("transaction_date").alias("_days"))
+        .withColumn("day_count", F.size(F.array_distinct(F.flatten(F.collect_list("_days").over(flag)))).cast("long"))
+        .drop("_days")
+    )
+    return counts.select(
         "is_weekend",
         "category",
         "line_count",
         "day_count",
         (F.col("line_count").cast("double") / F.col("day_count").cast("double")).alias("lines_per_day"),
-        _share(joined, ["is_weekend"]),
+        _share(counts, ["is_weekend"]),
     )
 
 
@@ -73,3 +81,9 @@ def category_share_monthly(silver: DataFrame) -> DataFrame:
     return counts.select(
         "year", "month", "season", "category", "line_count", _share(counts, ["year", "month"])
     )
+
+
+def category_share_season(silver: DataFrame) -> DataFrame:
+    """Category share of paid lines per season."""
+    counts = paid_lines(silver).groupBy("season", "category").agg(F.count(F.lit(1)).alias("line_count"))
+    return counts.select("season", "category", "line_count", _share(counts, ["season"]))

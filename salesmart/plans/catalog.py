@@ -20,8 +20,8 @@ from salesmart.operators.calendar import calendar_from_bounds
 from salesmart.operators.dedup import DUPLICATE_RANK
 from salesmart.operators.enrich import join_calendar, join_products, join_stores
 from salesmart.operators.normalize import add_source_row_id, line_measures, normalize_sales
-from salesmart.operators.quality import QUALITY_REASON, REASONS, rule_hits
-from salesmart.plans import gold
+from salesmart.operators.quality import QUALITY_REASON, REASONS, RULES_BY_REASON, rule_hits
+from salesmart.plans import gold, gold_sql
 from salesmart.plans.bronze import bronze_tables
 from salesmart.plans.silver import (
     accepted_sales,
@@ -34,9 +34,12 @@ from salesmart.schemas import SALES_COLUMNS, SALES_SCHEMA
 from salesmart.session import scratch_uri
 from salesmart.sources import files
 from salesmart.sources import retailview as rv
+from salesmart.sources.fixtures import sales_in_source_order
 
 Builder = Callable[[SparkSession, str], DataFrame]
 ROW_ID = ["transaction_id", *rv.SOURCE_ORDER]
+RAW_FILE_COUNT = 7
+MONEY_EDGES = ("0.004", "-0.004", "NaN", "1e17", "1.005", "")
 
 
 def public(df: DataFrame) -> DataFrame:
@@ -54,7 +57,7 @@ def _tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def _checked(spark: SparkSession, d: str) -> DataFrame:
-    return checked_sales(_tables(spark, d), rv.SOURCE_ORDER)
+    return checked_sales(_tables(spark, d), rv.SOURCE_ORDER, keys=rv.sales_keys(spark, d))
 
 
 def _silver(spark: SparkSession, d: str) -> DataFrame:
@@ -62,7 +65,7 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _input_rows(spark: SparkSession, d: str) -> DataFrame:
-    return report.count_rows(rv.raw_sales(spark, d))
+    return report.count_rows(rv.sales_keys(spark, d))
 
 
 # -- sources and sinks (A1-A4, A10, G9, G14) ---------------------------------
@@ -110,6 +113,40 @@ def schema_contract(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def csv_file_order_rank(spark: SparkSession, d: str) -> DataFrame:
+    """Keep-first rank of raw CSVs in many files, by (file, place in the file)."""
+    path = scratch_uri(spark, "csv_file_order")
+    sales = sales_in_source_order(rv.raw_sales(spark, d), rv.SOURCE_ORDER, RAW_FILE_COUNT)
+    files.write_csv(sales.select(*SALES_COLUMNS), path)
+    raw = files.read_csv(spark, path, SALES_SCHEMA, origin=True)
+    bronze = bronze_tables(spark, {"sales_transactions": raw}, scratch_uri(spark, "bronze"))
+    ranked = ranked_sales(bronze["sales_transactions"])
+    return public(ranked.select("transaction_id", "product_id", "quantity", "gross_revenue", DUPLICATE_RANK))
+
+
+def csv_money_edge(spark: SparkSession, d: str) -> DataFrame:
+    """Price, cost and revenue rules on sub-cent, NaN and very large amounts read from CSV."""
+    path = scratch_uri(spark, "csv_money_edge")
+    amounts = [F.lit(x) for x in MONEY_EDGES]
+    columns = ("unit_price", "unit_cost", "net_revenue")
+    edges = {}
+    for k, c in enumerate(columns):
+        pick = F.pmod(F.col("_src_partkey") + k, F.lit(len(MONEY_EDGES) + 2)).cast("int")
+        edges[c] = F.coalesce(F.get(F.array(*amounts), pick), F.col(c).cast("string"))
+    raw = rv.raw_sales(spark, d).withColumns(edges)
+    files.write_csv(raw.select(*SALES_COLUMNS), path)
+    read = files.read_csv(spark, path, SALES_SCHEMA)
+    return read.select(
+        "transaction_id",
+        "product_id",
+        *[
+            F.coalesce(RULES_BY_REASON[r].fires(), F.lit(False)).alias(r)
+            for r in ("invalid_unit_price", "invalid_unit_cost", "invalid_net_revenue")
+        ],
+        *[F.round(F.nanvl(c, F.lit(-1.0)) * 1000, 0).alias(f"{c}_mills") for c in columns],
+    )
+
+
 # -- projections, window, joins (B1-B8, F1, D1-D4) ---------------------------
 
 def source_row_id(spark: SparkSession, d: str) -> DataFrame:
@@ -126,8 +163,7 @@ def normalize_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def duplicate_rank(spark: SparkSession, d: str) -> DataFrame:
-    r = ranked_sales(rv.raw_sales(spark, d), rv.SOURCE_ORDER)
-    return r.select(*ROW_ID, DUPLICATE_RANK)
+    return _ranked(spark, d).select(*ROW_ID, DUPLICATE_RANK)
 
 
 def realized_measures(spark: SparkSession, d: str) -> DataFrame:
@@ -135,7 +171,7 @@ def realized_measures(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ranked(spark: SparkSession, d: str) -> DataFrame:
-    return ranked_sales(rv.raw_sales(spark, d), rv.SOURCE_ORDER)
+    return ranked_sales(rv.raw_sales(spark, d), rv.SOURCE_ORDER, keys=rv.sales_keys(spark, d))
 
 
 def join_products_q(spark: SparkSession, d: str) -> DataFrame:
@@ -156,7 +192,7 @@ def join_calendar_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def enriched_sales_q(spark: SparkSession, d: str) -> DataFrame:
-    return public(enriched_sales(_tables(spark, d), rv.SOURCE_ORDER))
+    return public(enriched_sales(_tables(spark, d), rv.SOURCE_ORDER, keys=rv.sales_keys(spark, d)))
 
 
 # -- rules and split (C1-C17, J2) ---------------------------------------------
@@ -297,12 +333,26 @@ def pattern_category_share_monthly(spark: SparkSession, d: str) -> DataFrame:
     return patterns.category_share_monthly(_silver(spark, d))
 
 
+def pattern_category_share_season(spark: SparkSession, d: str) -> DataFrame:
+    return patterns.category_share_season(_silver(spark, d))
+
+
+def _sql_builder(name: str) -> Builder:
+    def build(spark: SparkSession, d: str) -> DataFrame:
+        return gold_sql.gold_table_sql(spark, _silver(spark, d), name)
+
+    build.__name__ = f"sql_{name}"
+    return build
+
+
 def catalog() -> dict[str, Builder]:
     out: dict[str, Builder] = {
         "csv_roundtrip": csv_roundtrip,
         "parquet_roundtrip": parquet_roundtrip,
         "bronze_ingest": bronze_ingest,
         "schema_contract": schema_contract,
+        "csv_file_order_rank": csv_file_order_rank,
+        "csv_money_edge": csv_money_edge,
         "source_row_id": source_row_id,
         "normalize_text": normalize_text,
         "duplicate_rank": duplicate_rank,
@@ -339,6 +389,9 @@ def catalog() -> dict[str, Builder]:
             "pattern_weekend_effect": pattern_weekend_effect,
             "pattern_channel_share_monthly": pattern_channel_share_monthly,
             "pattern_category_share_monthly": pattern_category_share_monthly,
+            "pattern_category_share_season": pattern_category_share_season,
         }
     )
+    for name in gold.GOLD_TABLES:
+        out[f"sql_{name}"] = _sql_builder(name)
     return out

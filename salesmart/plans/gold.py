@@ -2,7 +2,7 @@
 
 All five group by day over ``order_status = 'paid'`` lines. Aggregation
 is partial (map-side) + final, so a hot day or product is combined before
-the shuffle. Money sums are exact (DECIMAL) and cast to DOUBLE last.
+the shuffle. Money sums are exact and cast to DOUBLE last.
 """
 
 from __future__ import annotations
@@ -11,9 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-from salesmart.functions.money import cents, half_up_ratio, rounded_sum
+from salesmart.functions.money import cents, half_up_ratio, is_exact, rounded_mean, rounded_sum
 from salesmart.operators.normalize import PAID
 
 # Gold table names and their group keys after the day.
@@ -34,27 +33,28 @@ def paid_lines(silver: DataFrame) -> DataFrame:
 def metric_overview_daily(silver: DataFrame) -> DataFrame:
     """Orders, lines, units and money per day; average order value half-up.
 
-    With DECIMAL money the average is divided in integer cents (exact).
-    Floating money (frames built with DOUBLE columns, which may carry NaN)
-    uses ROUND(sum / orders, 2), so NaN stays NaN instead of failing a cast.
+    With DECIMAL money the average is divided in integer cents (exact); with
+    DOUBLE money it is the rounded quotient of the exact sum, and NaN stays
+    NaN.
     """
-    exact = isinstance(silver.schema["realized_revenue"].dataType, DecimalType)
-    agg = paid_lines(silver).groupBy("transaction_date").agg(
-        F.count_distinct("order_id").alias("order_count"),
+    paid = paid_lines(silver)
+    orders = F.count_distinct("order_id")
+    if is_exact(silver, "realized_revenue"):
+        average_of = cents(F.sum("realized_revenue")).alias("_revenue")
+        average = half_up_ratio("_revenue", "order_count")
+    else:
+        average_of = rounded_mean(silver, "realized_revenue", orders).alias("_average")
+        average = F.col("_average")
+    agg = paid.groupBy("transaction_date").agg(
+        orders.alias("order_count"),
         F.count(F.lit(1)).alias("order_line_count"),
         F.sum("quantity").cast("long").alias("units_sold"),
-        rounded_sum("realized_revenue").alias("net_revenue"),
-        rounded_sum("gross_revenue").alias("gross_revenue"),
-        rounded_sum("total_cost").alias("total_cost"),
-        rounded_sum("realized_margin").alias("margin"),
-        (cents(F.sum("realized_revenue")) if exact else F.sum("realized_revenue")).alias("_revenue"),
+        rounded_sum(silver, "realized_revenue").alias("net_revenue"),
+        rounded_sum(silver, "gross_revenue").alias("gross_revenue"),
+        rounded_sum(silver, "total_cost").alias("total_cost"),
+        rounded_sum(silver, "realized_margin").alias("margin"),
+        average_of,
     )
-    if exact:
-        average = half_up_ratio("_revenue", "order_count")
-    else:
-        average = F.when(F.col("order_count") == 0, F.lit(0.0)).otherwise(
-            F.round(F.col("_revenue") / F.col("order_count"), 2)
-        )
     return agg.select(
         "transaction_date",
         "order_count",
@@ -73,8 +73,8 @@ def daily_rollup(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
     return paid_lines(silver).groupBy("transaction_date", *keys).agg(
         F.count(F.lit(1)).alias("order_line_count"),
         F.sum("quantity").cast("long").alias("units_sold"),
-        rounded_sum("realized_revenue").alias("net_revenue"),
-        rounded_sum("realized_margin").alias("margin"),
+        rounded_sum(silver, "realized_revenue").alias("net_revenue"),
+        rounded_sum(silver, "realized_margin").alias("margin"),
     )
 
 

@@ -61,9 +61,13 @@ def rollup_sql(keys: list[str], view: str = SILVER_VIEW) -> str:
     """
 
 
+def gold_table_sql(
+    spark: SparkSession, silver: DataFrame, name: str, view: str = SILVER_VIEW
+) -> DataFrame:
+    """One gold table by SQL text over the silver lines registered as ``view``."""
+    register_silver(silver, view)
+    return spark.sql(overview_sql(view) if name == OVERVIEW else rollup_sql(ROLLUP_KEYS[name], view))
+
+
 def build_gold_tables_sql(spark: SparkSession, silver: DataFrame) -> dict[str, DataFrame]:
-    view = register_silver(silver)
-    out = {OVERVIEW: spark.sql(overview_sql(view))}
-    for name, keys in ROLLUP_KEYS.items():
-        out[name] = spark.sql(rollup_sql(keys, view))
-    return out
+    return {name: gold_table_sql(spark, silver, name) for name in [OVERVIEW, *ROLLUP_KEYS]}

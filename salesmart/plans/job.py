@@ -37,16 +37,11 @@ from salesmart.plans.gold import build_gold_tables
 from salesmart.plans.silver import checked_sales, to_silver
 from salesmart.schemas import SCHEMAS, TABLE_NAMES
 from salesmart.session import scratch_uri
-from salesmart.sources.files import read_csv, release, write_json_rows, write_parquet
+from salesmart.sources.files import read_csv, read_json_file, release, write_json_file, write_parquet
 from salesmart.sources.layout import Layout
 
 ACCEPTED = "accepted"
-REPORT_SCHEMA = (
-    "run_id string, generated_at string, timezone string, input_rows long, accepted_rows long, "
-    "rejected_rows long, duplicate_rows long, missing_product_rows long, invalid_price_rows long, "
-    "rejection_reasons map<string,long>"
-)
-REPORT_FIELDS = [f.split(" ")[0] for f in REPORT_SCHEMA.split(", ")]
+SALES_TABLE = "sales_transactions"
 
 
 def load_raw_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -55,7 +50,10 @@ def load_raw_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]
     The four up-front header checks are small independent jobs, run together.
     """
     frames = concurrently(
-        *[(lambda n=name: read_csv(spark, layout.raw_path(n), SCHEMAS[n])) for name in TABLE_NAMES]
+        *[
+            (lambda n=name: read_csv(spark, layout.raw_path(n), SCHEMAS[n], origin=n == SALES_TABLE))
+            for name in TABLE_NAMES
+        ]
     )
     return dict(zip(TABLE_NAMES, frames))
 
@@ -106,6 +104,24 @@ def run(
     bronze = read_bronze(spark, write_bronze(raw, layout.bronze_dir))
     tables = {name: without_ingest_time(df) for name, df in bronze.items()}
     staging_uri = scratch_uri(spark, "checked")
+    try:
+        document = _outputs(spark, layout, bronze, tables, order_by, skew, staging_uri)
+    finally:
+        release(spark, staging_uri)  # nothing reads the staged copy any more
+    write_report(spark, document, layout.quality_report_path)
+    return document
+
+
+def _outputs(
+    spark: SparkSession,
+    layout: Layout,
+    bronze: dict[str, DataFrame],
+    tables: dict[str, DataFrame],
+    order_by: Sequence[str] | None,
+    skew: SkewPolicy | None,
+    staging_uri: str,
+) -> dict:
+    """Silver, quarantine and gold from one evaluation of the checked lines; returns the report."""
     staged = stage_checked(spark, checked_sales(tables, order_by, skew), staging_uri)
 
     # Everything below reads the staged lines only, so it runs as concurrent
@@ -123,17 +139,13 @@ def run(
         lambda: reason_counts(quarantine_from_staged(staged)),
         *gold_writes,
     )
-    release(spark, staging_uri)  # every output is written; free the staged copy
-    document = report_document(results[2], results[3])
-    write_report(spark, document, layout.quality_report_path)
-    return document
+    return report_document(results[2], results[3])
 
 
 def write_report(spark: SparkSession, document: dict, path: str) -> None:
-    """The report as a one-row JSON dataset (one control row, never table data)."""
-    row = spark.createDataFrame([tuple(document[f] for f in REPORT_FIELDS)], REPORT_SCHEMA)
-    write_json_rows(row, path)
+    """The report as one JSON file (a control document, never table data)."""
+    write_json_file(spark, document, path)
 
 
 def read_report(spark: SparkSession, path: str) -> dict:
-    return spark.read.schema(REPORT_SCHEMA).json(path).collect()[0].asDict(recursive=True)
+    return read_json_file(spark, path)

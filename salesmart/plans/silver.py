@@ -24,40 +24,49 @@ from salesmart.operators.dedup import DEFAULT_SKEW, SkewPolicy, rank_duplicates
 from salesmart.operators.enrich import enrich
 from salesmart.operators.normalize import SOURCE_ROW_ID, add_realized_measures, add_source_row_id, normalize_sales
 from salesmart.operators.quality import QUALITY_REASON, accepted_only, add_quality_reason, rejected_only
+from salesmart.sources.files import ORIGIN_COLUMNS
 
 Tables = dict[str, DataFrame]
 
 
 def _source_order(sales: DataFrame, order_by: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+    """The order of lines: as given, else by file and split (if known), then ingest id."""
     if order_by:
         return sales, list(order_by)
     if SOURCE_ROW_ID not in sales.columns:
         sales = add_source_row_id(sales)
-    return sales, [SOURCE_ROW_ID]
+    return sales, [*[c for c in ORIGIN_COLUMNS if c in sales.columns], SOURCE_ROW_ID]
 
 
 def ranked_sales(
     sales: DataFrame,
     order_by: Sequence[str] | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Normalised lines with ``_duplicate_rank``.
 
     ``order_by`` names the source-order columns; by default the ingest
     ``_source_row_id`` (added here when the input has none). ``skew``
-    splits hot transaction ids across tasks (None: one plain window).
+    splits hot transaction ids across tasks (None: one plain window, as for
+    an id that was only just added and is not persisted). ``keys`` is a
+    cheaper frame of the same transaction ids and order columns, if any.
     """
+    persisted = bool(order_by) or SOURCE_ROW_ID in sales.columns
     sales, order = _source_order(sales, order_by)
-    return rank_duplicates(normalize_sales(sales), order_by=order, skew=skew)
+    skew = skew if persisted else None
+    ranked = rank_duplicates(normalize_sales(sales), order_by=order, skew=skew, lines=keys)
+    return ranked.drop(*[c for c in ORIGIN_COLUMNS if c in order])
 
 
 def enriched_sales(
     tables: Tables,
     order_by: Sequence[str] | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     return enrich(
-        ranked_sales(tables["sales_transactions"], order_by, skew),
+        ranked_sales(tables["sales_transactions"], order_by, skew, keys),
         tables["products"],
         tables["stores"],
         tables["calendar"],
@@ -68,9 +77,10 @@ def checked_sales(
     tables: Tables,
     order_by: Sequence[str] | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Every enriched line with its ``quality_reason`` ("" = accepted)."""
-    return add_quality_reason(enriched_sales(tables, order_by, skew))
+    return add_quality_reason(enriched_sales(tables, order_by, skew, keys))
 
 
 def _helper_columns(df: DataFrame) -> list[str]:

@@ -1,9 +1,10 @@
 """Column contracts of the four raw tables.
 
-Money columns are ``DECIMAL(18,2)``: sums stay exact and round the same
-way in every engine. Frames with ``DOUBLE`` money (for example built by
-hand in tests) are accepted by every operator as well; types are never
-forced, so three-valued and NaN semantics of such inputs are preserved.
+Raw money columns are ``DOUBLE``, as the source reads them: a sub-cent
+amount, NaN or a very large number stays what the file says and meets the
+rules as such. Frames with ``DECIMAL`` money (the test-data adapter) are
+accepted by every operator as well; types are never forced. Sums are exact
+for either (see ``salesmart.functions.money``).
 """
 
 from __future__ import annotations
@@ -12,13 +13,17 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DecimalType,
+    DoubleType,
     IntegerType,
     StringType,
     StructField,
     StructType,
 )
 
+#: Money of the test-data adapter and of computed line measures.
 MONEY = DecimalType(18, 2)
+#: Money as the raw CSV files are read.
+RAW_MONEY = DoubleType()
 
 # Table and column names, in file order, as the raw CSV
 # files carry them. They must equal the source contract exactly.
@@ -74,15 +79,15 @@ TABLE_NAMES = ["sales_transactions", "products", "stores", "calendar"]
 _TYPES = {
     "transaction_date": DateType(),
     "quantity": IntegerType(),
-    "unit_price": MONEY,
-    "discount_percent": MONEY,
-    "gross_revenue": MONEY,
-    "net_revenue": MONEY,
-    "unit_cost": MONEY,
-    "total_cost": MONEY,
-    "margin": MONEY,
-    "base_price": MONEY,
-    "base_cost": MONEY,
+    "unit_price": RAW_MONEY,
+    "discount_percent": RAW_MONEY,
+    "gross_revenue": RAW_MONEY,
+    "net_revenue": RAW_MONEY,
+    "unit_cost": RAW_MONEY,
+    "total_cost": RAW_MONEY,
+    "margin": RAW_MONEY,
+    "base_price": RAW_MONEY,
+    "base_cost": RAW_MONEY,
     "launch_date": DateType(),
     "is_active": BooleanType(),
     "opened_at": DateType(),
@@ -115,8 +120,6 @@ SCHEMAS: dict[str, StructType] = {
     "calendar": CALENDAR_SCHEMA,
 }
 
-MONEY_COLUMNS = [c for c in SALES_COLUMNS if _TYPES.get(c) == MONEY]
-
 
 class SchemaContractError(ValueError):
     """A file's header does not equal the expected column list."""

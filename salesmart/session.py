@@ -45,8 +45,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached without a cluster setting (local tests).
-        configured = tempfile.mkdtemp(prefix="salesmart-ckpt-")
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="salesmart-ckpt-")  # one machine: tests, bench
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 

@@ -6,7 +6,10 @@ disk of the driver except through Spark.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesmart.schemas import check_header
@@ -25,8 +28,16 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", "true").option("inferSchema", "false").csv(path).columns
 
 
+#: Where a line was read: its file, and the start of its split in the file.
+ORIGIN_COLUMNS = ["_source_file", "_source_block"]
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, check_columns: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    check_columns: bool = True,
+    origin: bool = False,
 ) -> DataFrame:
     """CSV with header and an explicit schema (no inference).
 
@@ -35,17 +46,25 @@ def read_csv(
     checked: ``enforceSchema=false`` makes the scan validate the header of
     EVERY file against the schema's names (a mismatch fails the read and
     names the file); with ``check_columns`` the first file is also checked
-    up front on the driver, for an early, typed error.
+    up front on the driver, for an early, typed error. ``origin`` adds
+    ORIGIN_COLUMNS, from which the order of lines over many files follows.
     """
     if check_columns:
         check_header(read_header(spark, path), schema.fieldNames(), path)
-    return (
+    lines = (
         spark.read.schema(schema)
         .option("header", "true")
         .option("enforceSchema", "false")
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    if not origin:
+        return lines
+    return lines.select(
+        "*",
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_block_start").alias("_source_block"),
+    )
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -69,9 +88,18 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_json_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON-lines dataset; used for one-row control results such as the report."""
-    df.coalesce(1).write.mode(mode).json(path)
+def write_json_file(spark: SparkSession, document: dict, path: str) -> None:
+    """One JSON document as one file, through the Hadoop file system of its URI."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(json.dumps(document, indent=2).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_json_file(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def release(spark: SparkSession, path: str) -> None:

@@ -5,7 +5,7 @@ the driver data through the retail adapter (optionally with the three
 known-bad lines appended) and are written by Spark. The sales file is
 range-partitioned by transaction id and sorted inside each file by the
 source order, so the copies of a transaction follow each other in source
-order and the ingest ``_source_row_id`` reproduces that order inside a file.
+order and the ingest order (file, place in the file) reproduces it.
 """
 
 from __future__ import annotations
@@ -14,14 +14,14 @@ import datetime as _dt
 from collections.abc import Sequence
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.defects import inject_quality_issues, require_rows
 from salesmart.operators.report import REPORT_TIMEZONE
 from salesmart.schemas import SCHEMAS
 from salesmart.sources import retailview as rv
-from salesmart.sources.files import write_csv, write_json_rows
+from salesmart.sources.files import write_csv, write_json_file
 from salesmart.sources.layout import RAW_FILES, Layout
 
 # Manifest labels of the encoded trends and injected issues.
@@ -33,20 +33,17 @@ KNOWN_PATTERNS = [
 ]
 INJECTED_QUALITY_ISSUES = ["duplicate_transaction", "invalid_price", "unknown_product"]
 
-MANIFEST_SCHEMA = (
-    "generated_at string, timezone string, counts map<string,long>, paths map<string,string>, "
-    "known_patterns array<string>, injected_quality_issues array<string>"
-)
 
-
-def sales_in_source_order(sales: DataFrame, order_by: Sequence[str], files: int) -> DataFrame:
+def sales_in_source_order(sales: DataFrame, order_by: Sequence[str], files: int | None) -> DataFrame:
     """Range-partition on (transaction id, source order) and sort each file.
 
     The range includes the order columns, so a transaction with very many
-    copies spreads over consecutive files instead of one task.
+    copies spreads over consecutive files instead of one task. Without a
+    file count the files follow the data's size (adaptive coalescing).
     """
     keys = ["transaction_id", *order_by]
-    return sales.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    ranged = sales.repartitionByRange(files, *keys) if files else sales.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def write_raw_dataset(
@@ -56,15 +53,18 @@ def write_raw_dataset(
     order_by: Sequence[str] = rv.SOURCE_ORDER,
     sales_files: int | None = None,
 ) -> dict[str, int]:
-    """Write the four CSVs and return their row counts (read back from the files)."""
-    files = sales_files or spark.sparkContext.defaultParallelism
+    """Write the four CSVs and return their row counts (observed while writing)."""
+    counts = {}
     for name, df in tables.items():
         if name == "sales_transactions":
-            df = sales_in_source_order(df, order_by, files)
-        write_csv(df.select(*SCHEMAS[name].fieldNames()), layout.raw_path(name))
-    return {
-        name: spark.read.option("header", "true").csv(layout.raw_path(name)).count() for name in tables
-    }
+            df = sales_in_source_order(df, order_by, sales_files)
+        seen = Observation(f"written_{name}")
+        write_csv(
+            df.select(*SCHEMAS[name].fieldNames()).observe(seen, F.count(F.lit(1)).alias("n")),
+            layout.raw_path(name),
+        )
+        counts[name] = seen.get["n"]
+    return counts
 
 
 def write_manifest(
@@ -79,12 +79,7 @@ def write_manifest(
         "known_patterns": list(KNOWN_PATTERNS),
         "injected_quality_issues": list(INJECTED_QUALITY_ISSUES) if injected else [],
     }
-    row = spark.createDataFrame(
-        [tuple(manifest[k] for k in ("generated_at", "timezone", "counts", "paths",
-                                     "known_patterns", "injected_quality_issues"))],
-        MANIFEST_SCHEMA,
-    )
-    write_json_rows(row, layout.manifest_path)
+    write_json_file(spark, manifest, layout.manifest_path)
     return manifest
 
 
@@ -97,11 +92,8 @@ def build_raw_dataset(
 ) -> dict:
     """Driver tables -> raw CSVs (+ the three known-bad lines) -> manifest.
 
-    The ingest order of a multi-file CSV is split order (as the source's
-    id), and Spark packs splits by size, so a transaction whose copies fall
-    on both sides of a file boundary may be read in another order than
-    written. ``sales_files=1`` makes the ingest order exactly the written
-    order (for small comparisons with the catalog queries).
+    The ingest order of several files is (file, place in the file), which is
+    the written order whatever the number of files.
     """
     tables = rv.raw_tables(spark, sf_dir)
     if inject_defects:

@@ -64,29 +64,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Arithmetic precisions: products of these stay within 18 digits, where
-# Spark's decimals are long-backed (wider intermediates fall back to
-# java.math.BigDecimal, several times slower per row). Results are cast to
-# MONEY; the TPC-H value ranges (prices < 10^7, quantities < 10^4) fit.
-PRICE = "decimal(9,2)"
-RATE = "decimal(3,2)"
-COUNT = "decimal(5,0)"
-
-
-def spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the cluster has cores.
-
-    A Parquet file splits only at row-group boundaries, so a small file
-    can feed a handful of tasks with the whole per-line mapping. Large
-    inputs have far more splits than cores and are left untouched (no
-    extra shuffle at scale); the hash on ``key`` keeps re-execution
-    deterministic. Spreading on the transaction id also satisfies the
-    duplicate-rank window's distribution, so that window adds no shuffle.
-    """
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
+# Money and counts at their full widths; products widen as DECIMAL does and
+# results are cast to MONEY.
+PRICE = "decimal(18,2)"
+RATE = "decimal(4,2)"
+COUNT = "decimal(10,0)"
 
 
 def _unit_cost_small(retail_price: Column) -> Column:
@@ -97,25 +79,32 @@ def _unit_cost(retail_price: Column) -> Column:
     return money(_unit_cost_small(retail_price))
 
 
+def _transaction_id() -> Column:
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+
+
+def _source_order() -> list[Column]:
+    return [
+        F.col("l_partkey").alias("_src_partkey"),
+        F.col("l_suppkey").alias("_src_suppkey"),
+        F.to_date(F.col("l_shipdate")).alias("_src_shipdate"),
+    ]
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales lines: the 15 contract columns plus the source-order helpers."""
-    ok = F.col("l_orderkey")
-    li = spread(
-        spark,
-        _read(spark, sf_dir, "lineitem").select(
-            F.concat_ws("-", ok.cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
-            "l_orderkey", "l_partkey", "l_suppkey",
-            "l_quantity", "l_extendedprice", "l_discount", "l_shipdate",
-        ),
-        "transaction_id",
+    li = _read(spark, sf_dir, "lineitem").select(
+        _transaction_id().alias("transaction_id"),
+        "l_orderkey", "l_partkey", "l_suppkey",
+        "l_quantity", "l_extendedprice", "l_discount", "l_shipdate",
     )
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    # Foreign keys are complete: inner joins keep one row per lineitem row.
-    lines = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-        part, li.l_partkey == part.p_partkey
+    # Left joins: a line whose order or part is missing keeps its row, with NULL values.
+    lines = li.join(orders, li.l_orderkey == orders.o_orderkey, "left").join(
+        part, li.l_partkey == part.p_partkey, "left"
     )
 
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
@@ -169,9 +158,14 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "P", F.lit(" PAID"))
         .when(status == "O", F.lit("Cancelled "))
         .alias("order_status"),
-        pk.alias("_src_partkey"),
-        sk.alias("_src_suppkey"),
-        F.to_date(F.col("l_shipdate")).alias("_src_shipdate"),
+        *_source_order(),
+    )
+
+
+def sales_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction id and source order of every raw sales line: a scan of these columns alone."""
+    return _read(spark, sf_dir, "lineitem").select(
+        _transaction_id().alias("transaction_id"), *_source_order()
     )
 
 

@@ -1,12 +1,13 @@
-"""Exact ranks with hot keys split across tasks."""
+"""Exact ranks with keys cut across tasks."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.operators.dedup import DUPLICATE_RANK, SkewPolicy, find_hot_keys, rank_duplicates
+from salesmart.operators.dedup import DUPLICATE_RANK, SkewPolicy, key_cuts, rank_duplicates
 
-FORCE = SkewPolicy(sample_fraction=1.0, hot_rows=50, max_hot_keys=10, buckets=5, accuracy=100000)
+FORCE = SkewPolicy(rows_per_cut=20)
+ORDER = ["_source_row_id"]
 
 
 def _lines(spark):
@@ -17,38 +18,64 @@ def _lines(spark):
     return spark.createDataFrame(rows, "transaction_id string, _source_row_id long").repartition(7)
 
 
-def test_hot_keys_are_found(spark):
-    keys, null_hot = find_hot_keys(_lines(spark), "transaction_id", FORCE)
-    assert keys == ["HOT"] and null_hot
+def _same(a, b):
+    return a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_split_rank_equals_plain_window(spark):
+def test_cut_rank_equals_plain_window(spark):
     df = _lines(spark)
-    plain = rank_duplicates(df, skew=None)
-    split = rank_duplicates(df, skew=FORCE)
-    assert split.columns == plain.columns
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-    hot = split.where(F.col("transaction_id") == "HOT").agg(
-        F.min(DUPLICATE_RANK), F.max(DUPLICATE_RANK), F.count_distinct(DUPLICATE_RANK)
-    ).first()
-    assert tuple(hot) == (1, 400, 400)
+    cut = rank_duplicates(df, skew=FORCE)
+    assert _same(rank_duplicates(df, skew=None), cut)
+    assert dict(cut.dtypes)[DUPLICATE_RANK] == "bigint"
+    for key in (F.col("transaction_id") == "HOT", F.col("transaction_id").isNull()):
+        low, high, distinct, n = cut.where(key).agg(
+            F.min(DUPLICATE_RANK), F.max(DUPLICATE_RANK), F.count_distinct(DUPLICATE_RANK), F.count("*")
+        ).first()
+        assert (low, high, distinct) == (1, n, n)
 
 
-def test_split_rank_uses_buckets_for_the_hot_key(spark):
-    plan = rank_duplicates(_lines(spark), skew=FORCE)._jdf.queryExecution().executedPlan().toString()
-    assert "_bucket" in plan and "BroadcastHashJoin" in plan
+def test_every_line_a_cut_and_two_search_levels(spark, monkeypatch):
+    from salesmart.operators import dedup
 
-
-def test_split_rank_has_one_shuffle(spark):
+    monkeypatch.setattr(dedup, "FAN", 8)
     df = _lines(spark)
-    split = rank_duplicates(df, skew=FORCE)
+    assert _same(rank_duplicates(df, skew=None), rank_duplicates(df, skew=SkewPolicy(rows_per_cut=1)))
+
+
+def test_ties_in_the_first_order_column_and_text_order(spark):
+    rows = [("HOT", 1, f"v{i % 97:02d}", i) for i in range(500)] + [("HOT", None, None, 900), ("B", 2, "x", 1)]
+    df = spark.createDataFrame(rows, "transaction_id string, a int, b string, c int")
+    order = ["a", "b", "c"]
+    assert _same(rank_duplicates(df, order_by=order), rank_duplicates(df, order_by=order, skew=FORCE))
+
+
+def test_more_hot_keys_than_any_list_and_bounded_buckets(spark):
+    # 1,500 hot ids of 60 lines and one of 20,000: every one is cut, no task gets a whole hot id.
+    df = spark.range(110_000).select(
+        F.when(F.col("id") < 90_000, F.concat(F.lit("H"), F.col("id") % 1500)).otherwise("BIG").alias("transaction_id"),
+        F.col("id").alias("_source_row_id"),
+    )
+    cuts = key_cuts(df, "transaction_id", ORDER, FORCE)
+    sizes = {r["_cut_key"]: len(r["_cuts"]) for r in cuts.collect()}
+    assert len(sizes) > 1300 and 800 < sizes["BIG"] < 1200
+    ranked = rank_duplicates(df, skew=FORCE)
+    bad = ranked.groupBy("transaction_id").agg(F.max(DUPLICATE_RANK).alias("m"), F.count("*").alias("n")).where("m != n")
+    assert bad.count() == 0
+    places = sorted(x["_source_row_id"] for x in cuts.where("_cut_key = 'BIG'").first()["_cuts"])
+    assert max(b - a for a, b in zip(places, places[1:])) < 20 * 15
+
+
+def test_plan_is_lazy_and_numbers_within_buckets(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    split = rank_duplicates(_lines(spark), skew=FORCE)
+    assert set(tracker.getJobIdsForGroup(None)) == before
     plan = split._jdf.queryExecution().executedPlan().toString()
-    # the input's own repartition(7) plus exactly one exchange for the ranking window
-    assert plan.count("Exchange hashpartitioning(transaction_id") == 1
-    assert "RoundRobinPartitioning" in plan  # the fixture's repartition(7)
+    assert "_bucket" in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
-def test_checked_lines_equal_with_and_without_split(spark):
+def test_checked_lines_equal_with_and_without_cuts(spark):
+    from salesmart.operators.normalize import SOURCE_ROW_ID
     from salesmart.plans.silver import checked_sales
     from tests.fixtures import sale, tables
 
@@ -56,7 +83,9 @@ def test_checked_lines_equal_with_and_without_split(spark):
     rows += [sale(tid="HOT", net=str(i)) for i in range(150)]
     rows += [sale(tid=f"T{i}", product="P002" if i % 2 else "P001") for i in range(60)]
     t = tables(spark, rows)
+    ids = F.xxhash64(*t["sales_transactions"].columns, F.monotonically_increasing_id())
+    t["sales_transactions"] = t["sales_transactions"].withColumn(SOURCE_ROW_ID, ids)
     plain = checked_sales(t, skew=None)
     split = checked_sales(t, skew=FORCE)
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    assert _same(plain, split)
     assert split.where(F.col("quality_reason") == "").count() == 62  # one NULL id, one HOT, 60 singles

@@ -50,7 +50,8 @@ def test_order_checks(spark):
             sale(tid="C", oid="O2"), sale(tid="D", oid="O3"), sale(tid="E", oid="O3", channel=None)]
     sales = tables(spark, rows)["sales_transactions"]
     conflicts = checks.order_metadata_conflicts(sales).collect()
-    assert [(r["order_id"], r["store_id_values"], r["channel_values"]) for r in conflicts] == [("O1", 2, 1)]
+    assert [(r["order_id"], r["store_id_differs"], r["channel_differs"]) for r in sorted(conflicts)] == [
+        ("O1", True, False), ("O3", False, True)]  # NULL against a value differs
     hist = {r["lines_per_order"]: r["order_count"] for r in checks.order_line_histogram(sales).collect()}
     assert hist == {2: 2, 1: 1}
 
@@ -102,3 +103,36 @@ def test_injection_needs_three_lines(spark):
     with pytest.raises(NotEnoughRows):
         require_rows(sales, 3)
     require_rows(tables(spark, clean_lines(3))["sales_transactions"], 3)
+
+
+def test_order_metadata_null_against_value_is_a_conflict(spark):
+    from salesmart.operators.checks import order_metadata_conflicts
+    from tests.fixtures import sale, tables
+
+    rows = [sale(tid="a", oid="X"), sale(tid="b", oid="X", channel=None), sale(tid="c", oid="Y", channel=None),
+            sale(tid="d", oid="Y", channel=None), sale(tid="e", oid="Z", store="S002"), sale(tid="f", oid="Z")]
+    got = {r["order_id"]: r for r in order_metadata_conflicts(tables(spark, rows)["sales_transactions"]).collect()}
+    assert set(got) == {"X", "Z"}
+    assert got["X"]["channel_differs"] and not got["X"]["store_id_differs"] and got["Z"]["store_id_differs"]
+
+
+def test_dataset_differences_count_copies_and_scan_each_side_once(spark):
+    from salesmart.operators.checks import dataset_differences
+
+    left = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "x"), (2, "x")], "a int, b string")
+    right = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "a int, b string")
+    diff = dataset_differences(left, right)
+    assert diff._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = sorted((r["side"], r["a"], r["b"]) for r in diff.collect())
+    assert got == [("left_only", 1, None), ("left_only", 2, "x"), ("left_only", 2, "x"), ("right_only", 3, "y")]
+
+
+def test_double_sums_are_exact_and_keep_nan(spark):
+    from salesmart.functions.money import rounded_mean, rounded_sum
+
+    rows = [("a", 0.1)] * 10 + [("b", 1e16), ("b", 0.01), ("c", float("nan")), ("c", 1.0), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r["k"]: (r["s"], r["m"]) for r in df.groupBy("k").agg(
+        rounded_sum(df, "x").alias("s"), rounded_mean(df, "x", F.count("*")).alias("m")).collect()}
+    assert got["a"] == (1.0, 0.1) and got["b"][0] == 1e16 + 0.01
+    assert got["c"][0] != got["c"][0] and got["c"][1] != got["c"][1] and got["d"] == (None, None)

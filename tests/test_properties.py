@@ -90,7 +90,7 @@ def test_split_rank_equals_window(spark, keys, buckets, rnd):
 
     order = rnd.sample(range(10_000), len(keys))  # unique source order
     df = spark.createDataFrame(list(zip(keys, order)), "transaction_id string, _source_row_id long")
-    policy = SkewPolicy(sample_fraction=1.0, hot_rows=10, max_hot_keys=3, buckets=buckets, accuracy=100_000)
+    policy = SkewPolicy(rows_per_cut=buckets)
     plain = {(r[0], r[1]): r[2] for r in rank_duplicates(df, skew=None).collect()}
     split = {(r[0], r[1]): r[2] for r in rank_duplicates(df, skew=policy).collect()}
     assert split == plain

@@ -97,15 +97,15 @@ def test_several_reasons_in_rule_order(spark):
 
 def test_dimension_row_with_null_attribute_counts_as_unknown(spark):
     # Detection is by attribute, not by key.
-    products = [("P001", None, "electronics", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True)]
+    products = [("P001", None, "kitchen", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True)]
     assert _reasons(spark, [sale()], product_rows=products)["T1"] == "unknown_product"
 
 
 def test_duplicated_dimension_key_fans_out(spark):
     # Silver can hold more rows than the input.
     products = [
-        ("P001", "Laptop", "electronics", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True),
-        ("P001", "Laptop v2", "electronics", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True),
+        ("P001", "Kettle", "kitchen", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True),
+        ("P001", "Kettle 2", "kitchen", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True),
     ]
     silver, quarantine = build_silver_sales(tables(spark, [sale()], product_rows=products))
     assert silver.count() == 2 and quarantine.count() == 0
@@ -197,8 +197,8 @@ def test_double_money_frames_with_nan_run_through(spark):
 def test_ids_and_dimension_keys_are_not_normalised(spark):
     # Padded transaction ids are different ids; a padded dimension key does not match;
     # identity is the transaction id alone (different content, same id -> duplicate).
-    products = [(" P001", "Laptop", "electronics", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True),
-                ("P002", "Mouse", "electronics", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True)]
+    products = [(" P001", "Kettle", "kitchen", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True),
+                ("P002", "Lamp", "kitchen", "B", Decimal("1.00"), Decimal("1.00"), dt.date(2024, 1, 1), True)]
     rows = [sale(tid="T1", product="P002"), sale(tid=" T1", product="P002"),
             sale(tid="T2", product="P001"), sale(tid="T3", product="P002", qty=2),
             sale(tid="T3", product="P002", qty=3)]
