@@ -25,9 +25,9 @@ def shingles(text, k=3):
     return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
 
 
-def brute_components(rows, percent=85):
+def brute_components(rows, percent=85, k=3):
     """``[(doc_id, n_shingles, component, kept)]`` by comparing all pairs."""
-    sets = [shingles(t) if i is not None else set() for i, t in rows]
+    sets = [shingles(t, k) if i is not None else set() for i, t in rows]
     parent = list(range(len(rows)))
 
     def find(x):
@@ -36,23 +36,23 @@ def brute_components(rows, percent=85):
         return x
 
     where = {}
-    for k, s in enumerate(sets):
+    for row, s in enumerate(sets):
         for x in s:
-            where.setdefault(x, []).append(k)
-    for k, s in enumerate(sets):
-        shared = Counter(j for x in s for j in where[x] if j < k)
+            where.setdefault(x, []).append(row)
+    for row, s in enumerate(sets):
+        shared = Counter(j for x in s for j in where[x] if j < row)
         for j, n in shared.items():
             if 100 * n >= percent * (len(s) + len(sets[j]) - n):
-                a, b = find(j), find(k)
+                a, b = find(j), find(row)
                 parent[max(a, b)] = min(a, b)
     least = {}
-    for k, (i, _) in enumerate(rows):
+    for row, (i, _) in enumerate(rows):
         if i is not None:
-            least[find(k)] = min(i, least.get(find(k), i))
+            least[find(row)] = min(i, least.get(find(row), i))
     out = []
-    for k, (i, t) in enumerate(rows):
-        c = least[find(k)] if i is not None else None
-        out.append((i, len(shingles(t)), c, i is None or i == c))
+    for row, (i, t) in enumerate(rows):
+        c = least[find(row)] if i is not None else None
+        out.append((i, len(shingles(t, k)), c, i is None or i == c))
     return out
 
 
