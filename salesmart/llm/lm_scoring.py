@@ -36,7 +36,7 @@ from salesmart.session import scratch_uri
 
 FOLDS = 5
 HELD_OUT_FOLD = 1
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 10_000_000
 #: Training and scoring tokens for one range of keys.
 RANGE_TOKENS = 2_000_000
 MIN_RANGES = 64
@@ -184,6 +184,7 @@ def _requests(chunks: DataFrame, bits: int) -> DataFrame:
                 u_counts = np.bincount(c.tokens[c.training], minlength=len(c.vocabulary))
                 b_keys = np.unique(c.bigrams)
                 seen, n = np.unique(c.bigrams[c.training], return_counts=True)
+                c.bigrams = None  # no longer needed
                 b_counts = np.zeros(len(b_keys), np.int64)
                 b_counts[np.searchsorted(b_keys, seen)] = n
                 u_at, b_at = _range_of(c.vocabulary, bits), _range_of(b_keys, bits)
@@ -269,6 +270,7 @@ def _quantised(p: np.ndarray) -> np.ndarray:
 def _cells(c: Chunk, u_totals, b_totals, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Histogram of the training tokens' deleted estimates: packed cells and their counts."""
     context, token, both = (x[c.training] for x in _estimates(c, u_totals, b_totals))
+    c.bigrams = None  # no longer needed
     rest = context - 1
     p2 = np.where(rest > 0, (both - 1) / np.maximum(rest, 1), 0.0)
     p1 = (token - 1) / max(n - 1, 1)
@@ -317,12 +319,12 @@ def _score_chunk(row: dict, u_totals, b_totals, n: int, types: int, weights: np.
     c = Chunk(row)
     context, token, both = _estimates(c, u_totals, b_totals)
     base = np.log10((token + 0.5) / (n + 0.5 * (types + 1)))
-    w = weights[_log2_bucket(context)]
-    p = (
-        w[:, 0] * both / np.maximum(context, 1)
-        + w[:, 1] * token / max(n, 1)
-        + w[:, 2] / (types + 1)
-    )
+    bucket = _log2_bucket(context)
+    p = weights[bucket, 0]
+    p *= both
+    p /= np.maximum(context, 1)
+    p += weights[bucket, 1] * token / max(n, 1)
+    p += weights[bucket, 2] / (types + 1)
     starts = np.cumsum(c.lengths) - c.lengths  # no text is without a token
     ids = np.frombuffer(row["ids"], np.int64)
     size = len(ids)
