@@ -254,4 +254,7 @@ def keep_good_documents(
     counted = hosted.select(*docs.columns, removed.alias("_removed_words"))
     stats = document_stats(counted, text_col, keep=(*docs.columns, "_removed_words"))
     left = F.col("n_words") - F.col("_removed_words")
-    return stats.where(~F.col("base_failed") & (left >= MIN_WORDS)).select(*docs.columns)
+    # a filter is not pushed below a row number; pushed, it would repeat every array step in itself
+    numbered = stats.withColumn("_row", F.monotonically_increasing_id())
+    good = ~F.col("base_failed") & (left >= MIN_WORDS) & (F.col("_row") >= 0)
+    return numbered.where(good).select(*docs.columns)
