@@ -245,16 +245,20 @@ def keep_good_documents(
     max_share: float = MAX_SHARE,
     min_texts: int = MIN_TEXTS,
 ) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, every column as it was."""
+    """The rows of ``docs`` that the rules keep, every column as it was (whatever its name)."""
     frequent = written_frequent_lines(
         docs, text_col=text_col, host_col=host_col, max_share=max_share, min_texts=min_texts
-    ).select(F.col("host").alias("_host"), F.col("lines").alias("_frequent"))
-    hosted = docs.select(*docs.columns, _host(host_col).alias("_host")).join(frequent, "_host", "left")
-    removed = _line_words(_boilerplate(F.col(text_col), F.col("_frequent")))
-    counted = hosted.select(*docs.columns, removed.alias("_removed_words"))
-    stats = document_stats(counted, text_col, keep=(*docs.columns, "_removed_words"))
-    left = F.col("n_words") - F.col("_removed_words")
+    )
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(text_col).alias("text"),
+        _host(host_col).alias("host"),
+    ).join(frequent, "host", "left")
+    removed = _line_words(_boilerplate(F.col("text"), F.col("lines")))
+    counted = packed.select("doc", "text", removed.alias("removed_words"))
+    stats = document_stats(counted, keep=("doc", "removed_words"))
     # a filter is not pushed below a row number; pushed, it would repeat every array step in itself
-    numbered = stats.withColumn("_row", F.monotonically_increasing_id())
-    good = ~F.col("base_failed") & (left >= MIN_WORDS) & (F.col("_row") >= 0)
-    return numbered.where(good).select(*docs.columns)
+    numbered = stats.withColumn("row", F.monotonically_increasing_id())
+    left = F.col("n_words") - F.col("removed_words")
+    good = ~F.col("base_failed") & (left >= MIN_WORDS) & (F.col("row") >= 0)
+    return numbered.where(good).select("doc.*")

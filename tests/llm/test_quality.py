@@ -88,6 +88,14 @@ def test_stage_keeps_columns_and_equals_verdict(spark):
     assert sorted(map(tuple, kept.collect())) == sorted(tuple(r) for r in docs.collect() if r.doc_id in want)
 
 
+def test_stage_takes_columns_of_any_name(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30)), "a", i, "r", True) for i in range(3)] + [(9, "few", None, 1, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_words int, doc string, base_failed boolean")
+    kept = quality.keep_good_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == rows[:3]
+
+
 def test_main_path_has_no_python(spark):
     plan = Q.op8_quality(spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
