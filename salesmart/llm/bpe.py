@@ -8,7 +8,7 @@ leaves, each updated in logarithmic time, until the root is NONE.
 The vocabulary file (about 2 MB) is read once on the driver from a path given as
 parameter and sent to the tasks; texts never leave their task, no shuffle. Each
 Python worker keeps the ids of words, and of runs of text between spaces, that it
-has met, at most MEMO_WORDS of each.
+has met lately, at most 2 * MEMO_WORDS of them.
 Letter and number classes are those of Python's Unicode tables; characters that
 only later Unicode versions assign may be cut otherwise than by other libraries.
 """
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import map_rows
 
-MEMO_WORDS = 400_000
+#: Entries of one generation of the memo.
+MEMO_WORDS = 150_000
 #: Words longer than this are encoded anew each time, so the memo stays small.
 MEMO_CHARS = 64
 
@@ -153,8 +154,9 @@ class WordBpe:
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
         self.words = word_pattern()
-        self.memo: dict[str, bytes] = {}  # runs without spaces: words with what stands round them
-        self.word_memo: dict[str, bytes] = {}
+        # ids of words and of runs without spaces, in two generations: what is met again stays
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def word_ids(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
@@ -162,34 +164,36 @@ class WordBpe:
         symbols[-1] = self.last[raw[-1]]
         return merge_symbols(symbols, self.pairs)
 
-    def _word(self, word: str) -> bytes:
-        packed = array("I", self.word_ids(word)).tobytes()
-        if len(word) <= MEMO_CHARS:
-            if len(self.word_memo) >= MEMO_WORDS:
-                self.word_memo.clear()
-            self.word_memo[word] = packed
+    def _remember(self, text: str, packed: bytes) -> bytes:
+        if len(text) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO_WORDS:
+                self.older, self.memo = self.memo, {}
+            self.memo[text] = packed
         return packed
 
+    def _word(self, word: str) -> bytes:
+        packed = self.memo.get(word) or self.older.get(word)
+        return packed or self._remember(word, array("I", self.word_ids(word)).tobytes())
+
     def _piece(self, piece: str) -> bytes:
         """Ids of a run of text without spaces, as little-endian 32-bit integers."""
-        known = self.word_memo.get
-        packed = b"".join([known(w) or self._word(w) for w in self.words.findall(piece)])
-        if len(piece) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            self.memo[piece] = packed
-        return packed
+        packed = self.older.get(piece)
+        if packed is None:
+            words = self.words.findall(piece)
+            if len(words) == 1 and words[0] == piece:
+                return self._word(piece)
+            packed = b"".join(map(self._word, words))
+        return self._remember(piece, packed)
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             if "Σ" in text:  # lower-cased without regard to its place in the word
                 text = text.replace("Σ", "σ")
-        get, piece = self.memo.get, self._piece
         found = []
         for chunk in text.lower().split(" "):
-            ids = get(chunk)
-            found.append(piece(chunk) if ids is None else ids)
+            ids = self.memo.get(chunk)
+            found.append(self._piece(chunk) if ids is None else ids)
         return b"".join(found)
 
     def encode(self, text: str | None) -> bytes:

@@ -48,7 +48,7 @@ def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
 
 
 def map_rows(
-    df: DataFrame, row_fn: Callable[..., tuple], schema: str, per_batch: int = 2000
+    df: DataFrame, row_fn: Callable[..., tuple], schema: str, per_batch: int = 500
 ) -> DataFrame:
     """``row_fn(*columns) -> tuple`` over every row in Arrow batches.
 

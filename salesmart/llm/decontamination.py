@@ -197,7 +197,7 @@ def find_contamination(
         def run(batches, sent=sent):
             matcher = _matcher(sent.value, percent)
             budgets = {x[0]: x[2] for x in matcher.items}
-            for batch in batches:
+            for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
                 rows = [
                     (doc_id, item_id, distance, budgets[item_id], start, end)
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())

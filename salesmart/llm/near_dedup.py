@@ -44,7 +44,7 @@ BLOCK_SETS = 256
 BLOCK_SHINGLES = 250_000
 MEMO_WORDS = 300_000
 #: How many documents' results a Python worker holds before it hands them on.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 _C = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
