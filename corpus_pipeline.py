@@ -15,8 +15,8 @@ from salesmart.session import scratch_uri
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality.keep_good_documents(docs)
+    """Documents that the quality rules keep, without their boilerplate lines."""
+    return quality.clean_good_documents(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

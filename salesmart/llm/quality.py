@@ -238,6 +238,65 @@ def quality_rules(
     )
 
 
+def _without_boilerplate(text: Column, hashes: Column) -> Column:
+    """The text without the lines whose normalised form is listed; the other lines as they are."""
+
+    def normal(line: Column) -> Column:
+        return F.btrim(F.regexp_replace(line, r"[\x20\x09\x0B-\x0D]+", " "))
+
+    rest = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(hashes, F.xxhash64(normal(x))))
+    return F.array_join(rest, "\n")
+
+
+def clean_good_documents(
+    docs: DataFrame,
+    text_col: str = "text",
+    host_col: str = "source",
+    length_col: str | None = "n_chars",
+    max_share: float = MAX_SHARE,
+    min_texts: int = MIN_TEXTS,
+) -> DataFrame:
+    """The rows that the rules keep, boilerplate lines removed from their texts.
+
+    Same columns and types. ``length_col``, if present, is the code point count
+    of a changed text; rows without a boilerplate line are unchanged.
+    """
+    frequent = written_frequent_lines(
+        docs, text_col=text_col, host_col=host_col, max_share=max_share, min_texts=min_texts
+    )
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(text_col).alias("text"),
+        _host(host_col).alias("host"),
+    ).join(frequent, "host", "left")
+    marked = packed.select(
+        "doc", "text", "lines", _boilerplate(F.col("text"), F.col("lines")).alias("_removed")
+    )
+    counted = marked.select(
+        "doc",
+        "text",
+        _line_words(F.col("_removed")).alias("removed_words"),
+        F.when(
+            F.size("_removed") > 0, _without_boilerplate(F.col("text"), F.col("lines"))
+        ).alias("cleaned"),
+    )
+    stats = document_stats(counted, keep=("doc", "removed_words", "cleaned"))
+    # numbered for the same reason as in keep_good_documents
+    numbered = stats.withColumn("row", F.monotonically_increasing_id())
+    left = F.col("n_words") - F.col("removed_words")
+    good = ~F.col("base_failed") & (left >= MIN_WORDS) & (F.col("row") >= 0)
+    out = []
+    for f in docs.schema:
+        value = F.col(f"doc.`{f.name}`")
+        if f.name == text_col:
+            value = F.coalesce("cleaned", value)
+        elif f.name == length_col:
+            length = F.char_length("cleaned").cast(f.dataType)
+            value = F.when(F.col("cleaned").isNotNull() & value.isNotNull(), length).otherwise(value)
+        out.append(value.alias(f.name))
+    return numbered.where(good).select(*out)
+
+
 def keep_good_documents(
     docs: DataFrame,
     text_col: str = "text",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.llm import quality
 from salesmart.llm import queries as Q
@@ -106,3 +108,25 @@ def test_frequent_line_limits(spark, n):
     rows = [(i, f"same line\nown {i}", "h") for i in range(25 + n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert quality.frequent_lines(docs).count() == n
+
+
+def test_pipeline_stage_removes_the_boilerplate_lines(spark):
+    docs = docs_with_boilerplate(spark).withColumn("n_chars", F.length("text").cast("long"))
+    kept = corpus_pipeline.quality_stage(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = {r.doc_id: r.text for r in docs.collect()}
+    good = {r.doc_id for r in quality.quality_rules(docs).collect() if r.kept}
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == good
+    for r in rows:
+        text = want[r.doc_id].split("\n")[0] if r.doc_id < 30 else want[r.doc_id]
+        assert (r.text, r.n_chars) == (text, len(text))
+
+
+def test_removal_keeps_other_lines_as_they_are(spark):
+    own = " ".join(f"w{k}" for k in range(25))
+    rows = [(i, f"  {own} {i}\t x\n\n same \x0b line\r\nsame line\nend{i}", "h", None) for i in range(30)]
+    docs = spark.createDataFrame([*rows, (None, None, None, None)], "doc_id long, text string, source string, n_chars int")
+    out = {r.doc_id: r for r in quality.clean_good_documents(docs).collect()}
+    assert len(out) == 30
+    assert all(out[i].text == f"  {own} {i}\t x\n\nend{i}" and out[i].n_chars is None for i in range(30))
