@@ -20,16 +20,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id.
+    """One row of each near-duplicate group: the one with the smallest doc_id.
 
-    Near duplicates share four fifths of their five-word shingles.
+    Near duplicates share four fifths of their five-word shingles. Rows without
+    a doc_id and rows of a repeated one are documents like any other.
     """
-    return near_dedup.drop_near_duplicates(docs, k=5, percent=80)
+    return near_dedup.drop_near_duplicate_rows(docs, k=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decon.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item, each row judged by its own text."""
+    return decon.drop_contaminated_rows(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,3 +223,36 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     hits.select(F.col("doc_id").alias(id_col)).distinct().write.parquet(path)
     gone = spark.read.schema(f"`{id_col}` long").parquet(path)
     return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+
+
+def drop_contaminated_rows(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    percent: int = ERROR_PERCENT,
+) -> DataFrame:
+    """The rows of ``docs`` whose own text has no hit, every column as it was.
+
+    A row is judged where it is read, whatever its id: null and repeated ids
+    need no key. Each block of items is one more pass over the rows left.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructField, StructType
+
+    sc = docs.sparkSession.sparkContext
+    schema = StructType([StructField(f.name, f.dataType, True) for f in docs.schema])
+    out = docs
+    for block in _blocks(benchmark, item_col, item_text_col):
+        sent = sc.broadcast(block)
+
+        def run(batches, sent=sent):
+            matcher = _matcher(sent.value, percent)
+            for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
+                k = batch.schema.get_field_index(text_col)
+                clean = [not matcher.hits(text) for text in batch.column(k).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        out = map_batches(out, run, schema)
+    return out

@@ -429,3 +429,27 @@ def drop_near_duplicates(
     verdict = near_duplicates(docs, id_col, text_col, k, percent)
     gone = _written(verdict.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct(), "near-copies")
     return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+
+
+def drop_near_duplicate_rows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = SHINGLE_WORDS,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """One row of each near-duplicate group, every column as it was; rows without words stay.
+
+    It is the row with the smallest id, a null id after all others, one row of
+    a repeated id. The rows are written in that order with a number of their
+    own, and the number is their key: ids need be neither present nor distinct.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    # the place in the input also parts the rows of one id, or without, over all tasks of the sort
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    ordered = placed.orderBy(F.col(id_col).asc_nulls_last(), row)
+    keyed = _written(ordered.withColumn(row, F.monotonically_increasing_id()), "rows")
+    kept = drop_near_duplicates(keyed, row, text_col, k, percent)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

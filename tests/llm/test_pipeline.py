@@ -43,3 +43,31 @@ def test_queries_are_registered():
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_stages_judge_rows_without_an_id_or_with_a_repeated_one(spark, tmp_path):
+    item = "The quick brown fox jumps over the lazy dog by the river bank at noon"
+    texts = [" ".join(f"t{i}w{k}" for k in range(40)) for i in range(5)]
+    rows = [
+        (None, texts[0]), (None, texts[0]), (None, texts[0] + " more"),  # one stays
+        (3, texts[1]), (3, texts[1]), (None, texts[1]), (9, texts[1]),  # one row of id 3 stays
+        (9, texts[2]),  # no copy, though another row of its id is one
+        (None, ""), (None, None),
+    ]
+    schema = "doc_id long, text string, _row int"
+    docs = spark.createDataFrame([(*r, 0) for r in rows], schema)
+    kept = corpus_pipeline.dedup_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    want = [(3, texts[1]), (9, texts[2]), (None, ""), (None, None)]
+    assert [x for x in got if x in want] == sorted(want, key=str) and len(got) == 5
+    assert sum(x[1] in (texts[0], texts[0] + " more") for x in got) == 1
+
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item), (None, texts[0]), (5, f"say {item}"), (5, texts[1]), (6, None)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], schema)
+    kept = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(None, texts[0]), (5, texts[1]), (6, None)], key=str
+    )
