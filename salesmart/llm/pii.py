@@ -115,14 +115,19 @@ def _phones(text: str) -> list[tuple[int, int]]:
 
 
 def _ibans(text: str) -> list[tuple[int, int]]:
-    """Proposals whose longest prefix of whole groups passes mod-97."""
-    out = []
-    for m in _IBAN.finditer(text):
+    """Proposals whose longest prefix of whole groups passes mod-97.
+
+    The search goes on from that prefix, or inside a proposal without one, so
+    that a proposal never hides what stands behind its start.
+    """
+    out, at = [], 0
+    while m := _IBAN.search(text, at):
         s = m.group()
         cuts = [len(s)] + [k for k in range(len(s) - 1, 14, -1) if s[k] == " "]
         good = next((c for c in cuts if iban_ok(s[:c])), None)
+        at = m.start() + (good or 1)
         if good:
-            out.append((m.start(), m.start() + good))
+            out.append((m.start(), at))
     return out
 
 

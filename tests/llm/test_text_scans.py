@@ -179,6 +179,14 @@ def test_pii_checksums_and_context():
     assert near[0][3] > far[0][3]
 
 
+def test_pii_finds_every_iban_of_a_row_of_groups():
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19"
+    for text in (f"{de} {gb}", f"NR12 {de}", f"NR12 {de} {gb} QX77 {gb.replace(' ', '')}", f"XY99 ABCD {gb} {de}", f"{de} CODE7 X"):
+        found = [text[s:e].replace(" ", "") for k, s, e, _ in pii.find_spans(text) if k == "iban"]
+        want = [x.replace(" ", "") for x in (de, gb)]
+        assert found == [y for y in re.findall("|".join(want), text.replace(" ", ""))]
+
+
 @pytest.mark.parametrize("digest,counts", [(secret_scan.secret_digest, 3), (pii.pii_digest, 4)])
 def test_scan_edges(spark, digest, counts):
     docs = edge_rows(spark)
