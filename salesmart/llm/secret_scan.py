@@ -2,12 +2,15 @@
 
 Source and configuration text is lexed round every ``=`` and ``:`` into
 name-literal pairs: ``name = "a" + b``, ``{"name": "..."}``, ``name: value``,
-``export NAME=value``. A name that was bound to literals earlier in the text is
+``export NAME=value``, ``name: type = "..."``, ``names["name"] = "..."``. A
+literal may have a prefix, one, three or back quotes, stand in round or square
+brackets or on the next line, and be continued by the next literal. A name that was bound to literals earlier in the text is
 a constant; where it is used in a later value, its literals are propagated to
 the new name. A literal is scored by the words of its target's name and by its
 own shape; one that scores ``MIN_SCORE`` or more is a finding of kind
 ``literal``. The base kinds ``assign``, ``access`` and ``hex`` are found by
-expression and always reported; a literal inside a base span is not repeated.
+expression and always reported; a literal inside a base span is not repeated,
+one that goes beyond it is reported as well.
 
 Every text is scanned whole inside its own task, no shuffle.
 """
@@ -17,7 +20,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,15 +60,29 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_NAME_BEFORE = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]*)[\"']?[ \t]*$")
-_VALUE = re.compile(
-    r"""[ \t]*(?:(?P<q>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<name>[A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_.+/=-])|(?P<bare>[^\s"',;(){}\[\]]+))"""
+# Targets are matched from their separator backwards, on the reversed text before it.
+_NAME = r"[A-Za-z0-9_.-]*[A-Za-z_]"
+_TARGET = re.compile(rf"""[|&?+:]*[ \t]*["'`]?((?:\][^\[\]\n]*\[[ \t]*)+(?:{_NAME})?|{_NAME})""")
+_GO_TARGET = re.compile(rf"[ \t]*(?:gnirts\*?|(?:etyb|enur)\]\[)[ \t]+({_NAME})[ \t]+(?:rav|tsnoc)(?![A-Za-z0-9_])")
+_TYPE = re.compile(
+    r"""[ \t]*[&*]*(?:'[a-z_]+[ \t]+)?(?:mut[ \t]+)?[A-Za-z_][A-Za-z0-9_.]*+(?:[ \t]*+[\[<|&?!*][A-Za-z0-9_.,|&*?!<>\[\] \t'"]*+)?[ \t]*+"""
 )
-_PLUS = re.compile(r"[ \t]*\+")
+_QUOTED = re.compile(
+    r"""(?:[rbfuRBFUL]{1,2}|u8|b?r\#+|[@$]{1,2})?(?:"{3}(?P<d3>(?:[^"\\]|\\[\s\S]|"{1,2}(?!"))*+)"{3}|'{3}(?P<s3>(?:[^'\\]|\\[\s\S]|'{1,2}(?!'))*+)'{3}|"(?P<d>(?:[^"\\\n]|\\.)*+)"|'(?P<s>(?:[^'\\\n]|\\.)*+)'|`(?P<b>(?:[^`\\]|\\[\s\S])*+)`)\#*"""
+)
+_PLAIN = re.compile(
+    r"""[ \t]*(?:(?P<name>[A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_.+/=-])|(?P<bare>[^\s"'`,;(){}\[\]]+))"""
+)
+#: Between a separator and a quoted literal, or two parts of a value.
+_GAP = re.compile(r"(?:\s|\\\r?\n)*+")
+_OPEN = re.compile(r"(?:\s|\\\r?\n|[(\[])*+")
+_KEY_AFTER = re.compile(r"[ \t]*(?::|=(?!=))")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-_SEPARATOR = re.compile(r"[=:]")
-#: A name is looked for in so many characters before its ``=`` or ``:``.
-NAME_CHARS = 128
+_SEPARATOR = re.compile(r"[=:\[]")
+#: A literal that is a placeholder as a whole.
+_WORN = re.compile(
+    r"\$\{[^{}]*\}|\$\([^()]*\)|\$[A-Z_][A-Z0-9_]*|\$[A-Za-z_]+|<[^<>]*>|\{\{[^{}]*\}\}|\{[A-Za-z_][A-Za-z0-9_. ]*\}|%[A-Za-z_][A-Za-z0-9_]*%|%\([^()]*\)s"
+)
 
 
 def name_weight(name: str) -> float:
@@ -77,7 +96,7 @@ def name_weight(name: str) -> float:
 
 def literal_quality(value: str) -> float:
     """0 for short or worn literals, to 1 for long ones of many different characters."""
-    if len(value) < 6 or value.startswith(("$", "<", "{", "%")) or " " in value:
+    if len(value) < 6 or _WORN.fullmatch(value):
         return 0.0
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
@@ -85,41 +104,95 @@ def literal_quality(value: str) -> float:
     return min(1.0, 0.25 * entropy * (0.7 + 0.15 * mixed))
 
 
+def _target(text: str, at: int, before: int, earlier: int, opened: tuple[int, int]) -> str | None:
+    """The name that the separator at ``at`` binds; ``before``, ``earlier``: the two separators before it.
+
+    ``opened``: the last ``[`` and the separator before it. A subscript belongs
+    to the name; a type between the name and ``=`` does not, unless it is the
+    more sensitive word (``note: token = ...``).
+    """
+    back = text[before + 1 : at][::-1]
+    close = at - 1 - (len(back) - len(back.lstrip("|&?+ \t")))
+    # a subscript may hold separators
+    if back and opened[0] >= 0 and text[close] == "]" and text.rfind("]", opened[0], close) < 0:
+        back = text[opened[1] + 1 : at][::-1]
+    left = _TARGET.match(back)
+    name = left.group(1)[::-1] if left else None
+    if text[at] == "=":
+        typed = None
+        if before >= 0 and text[before] == ":" and _TYPE.fullmatch(text, before + 1, at):
+            typed = _TARGET.match(text[earlier + 1 : before][::-1])
+        typed = typed or _GO_TARGET.match(back)
+        if typed:
+            declared = typed.group(1)[::-1]
+            if not name or name_weight(declared) >= name_weight(name):
+                return declared
+    return name
+
+
+def _quoted(text: str, pos: int, gap: re.Pattern) -> tuple[int, int, int] | None:
+    """``(start, end, after)`` of a literal that follows the gap; on a later line it must not be a key."""
+    begin = gap.match(text, pos).end()
+    m = _QUOTED.match(text, begin)
+    if not m or "\n" in text[pos:begin] and _KEY_AFTER.match(text, m.end()):
+        return None
+    return *m.span(m.lastgroup), m.end()
+
+
+def _value(text: str, pos: int, known: dict[str, list[tuple[int, int]]]) -> tuple[list[tuple[int, int]], int]:
+    """The literals of the value at ``pos``, and where it ends."""
+    spans: list[tuple[int, int]] = []
+    opened = _OPEN.match(text, pos).end()
+    listed = any(c in "([" for c in text[pos:opened])
+    gap = _OPEN if listed else _GAP
+    while True:
+        if found := _quoted(text, pos, gap):
+            while found:  # and the literals that continue it
+                spans.append(found[:2])
+                pos = found[2]
+                found = _quoted(text, pos, _GAP)
+        elif m := _PLAIN.match(text, gap.match(text, pos).end() if listed else pos):
+            if name := m.group("name"):
+                if name in known:
+                    spans.extend(known[name])
+                elif not listed and (m.end() == len(text) or text[m.end()] in "\r\n"):
+                    spans.append(m.span("name"))  # an unquoted value of a configuration line
+            elif not listed:
+                spans.append(m.span("bare"))
+            pos = m.end()
+        else:
+            return spans, pos
+        more = _GAP.match(text, pos).end()
+        if text[more : more + 1] != "+" and not (listed and text[more : more + 1] == ","):
+            return spans, pos
+        pos = more + 1
+
+
 def name_literal_pairs(text: str) -> list[tuple[str, int, int]]:
     """``(target name, start, end)`` of every literal bound to a name, constants propagated."""
     known: dict[str, list[tuple[int, int]]] = {}
     out = []
     done = 0
+    before = earlier = -1
+    opened = (-1, -1)
     for sep in _SEPARATOR.finditer(text):
         at = sep.start()
+        if text[at] == "[":
+            opened = (at, before)
+            continue
+        last, beyond = before, earlier
+        before, earlier = at, before
         if at < done or text[at : at + 2] in ("==", "::", ":/") or text[at - 1 : at] in ("=", "!", "<", ">", ":"):
             continue
-        left = _NAME_BEFORE.search(text[max(0, at - NAME_CHARS) : at].rstrip(":"))
-        if not left:
+        name = _target(text, at, last, beyond, opened)
+        if not name:
             continue
-        name = left.group(1)
         pos = at + (2 if text[at : at + 2] in (":=", "=>") else 1)
-        spans: list[tuple[int, int]] = []
-        while m := _VALUE.match(text, pos):
-            if m.group("q"):
-                spans.append((m.start("q") + 1, m.end("q") - 1))
-            elif m.group("name"):
-                ref = m.group("name")
-                if ref in known:
-                    spans.extend(known[ref])
-                elif m.end() == len(text) or text[m.end()] in "\r\n":
-                    spans.append(m.span("name"))  # an unquoted value of a configuration line
-            else:
-                spans.append(m.span("bare"))
-            pos = m.end()
-            plus = _PLUS.match(text, pos)
-            if not plus:
-                break
-            pos = plus.end()
+        spans, end = _value(text, pos, known)
         if spans:
             known[name] = spans = sorted(set(spans))
             out.extend((name, s, e) for s, e in spans)
-            done = pos
+            done = end
     return out
 
 
@@ -145,11 +218,12 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
             score = name_weight(name) * literal_quality(text[s:e])
             if score >= MIN_SCORE:
                 best[s, e] = max(score, best.get((s, e), 0.0))
-        scored += [
-            ("literal", s, e, score)
-            for (s, e), score in best.items()
-            if not any(b < e and s < c for _, b, c in base)
-        ]
+        whole = sorted((b, c) for _, b, c in base)
+        starts, ends = [b for b, _ in whole], list(accumulate((c for _, c in whole), max))
+        for (s, e), score in best.items():
+            k = bisect_right(starts, s)
+            if not k or ends[k - 1] < e:
+                scored.append(("literal", s, e, score))
     return sorted(scored, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -102,6 +102,49 @@ def test_lexer_propagates_constants_and_scores_names():
     assert secret_scan.find_spans("He said: the key: a fine day = good") == []
 
 
+VALUE = "x9-Kd82!msQ4"
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        'password: str = "@"', 'const apiKey: string = "@";', 'password: Optional[str] = "@"', "let secret: &'static str = \"@\";",
+        'var token string = "@"', 'os.environ["API_TOKEN"] = "@"', "db['a:b=c']['password'] = '@'", 'token = b"@"',
+        'token = f"@"', 'token = """@"""', "token = '''\n@\n'''", "token = `@`", 'token = ("@" "and the rest")',
+        'token = ("and the rest"\n   "@")', 'token = [\n  "one more value", "@"]', 'token = \\\n    "@"', 'token =\n    "@"',
+        'token = "and some" \\\n  "@"', 'password = "$@"', 'password = "<@"', 'password = "{@"', 'password = "%@"',
+        'password = "two words @"', "x" * 300 + "_password" + "_" * 200 + ' = "@"', "password" + "_x" * 200 + ' = "@"',
+        'token = "abcdef @"', 'password ||= "@"', "secret = r#\"@\"#",
+    ],
+)
+def test_lexer_takes_the_forms_of_source_text(source):
+    text = "first = 1\n" + source.replace("@", VALUE) + "\nlast = 2\n"
+    redacted = secret_scan.redact(text)
+    assert VALUE not in redacted and secret_scan.PLACEHOLDER in redacted
+    assert redacted.startswith("first = 1\n") and redacted.endswith("\nlast = 2\n")
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        'password = "${DB_PASSWORD}"', 'password = "<your password>"', 'password = "{{ vault.it }}"', 'password = "%DB_PASSWORD%"',
+        'password = "$DB_PASSWORD2"', 'colour: str = "@"', 'names["colour"] = "@"', 'secret:\n  "colour": "@"', 'a: str = "@"\ntoken: str\n',
+    ],
+)
+def test_lexer_leaves_placeholders_and_other_names(source):
+    text = source.replace("@", VALUE)
+    assert [x for x in secret_scan.find_spans(text) if x[0] == "literal"] == []
+
+
+@pytest.mark.parametrize("unit", ["=", "a=", "]=", "[]=", "a[=", ":a", '="', "a:b=", "=\n", "a=(", "a='''", "a=`\\", "a=b+", 'a="b" ', "[a:"])
+def test_lexer_reads_long_runs_once(unit):
+    import time
+
+    start = time.process_time()
+    secret_scan.find_spans(unit * (200_000 // len(unit)))
+    assert time.process_time() - start < 20
+
+
 def test_redaction_keeps_columns_and_clean_rows(spark):
     rows = [(1, "clean text", 10, "s"), (2, "a token = abcdef123 b", 21, "s"), (3, None, None, None), (4, "", 0, "s")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, source string")
