@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm import bpe, decontamination, html_text, licenses, lm_scoring, near_dedup
-from salesmart.llm import pii, quality, secret_scan, sharding
+from salesmart.llm import periodic_runs, phrases, pii, quality, secret_scan, sharding, toxicity
 from salesmart.llm.common import read_table
 
 
@@ -57,6 +57,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_documents(spark, sf_dir))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digest(_documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -69,6 +81,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_near_dedup": op9_near_dedup,
         "op10_license_scan": op10_license_scan,
+        "op11_toxicity": op11_toxicity,
+        "op12_phrases": op12_phrases,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -130,5 +145,56 @@ FROM stats
 """
 
 
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (
+  SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS ws FROM pieces
+),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS phrase
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+        FROM words, (SELECT unnest([1, 2, 3]) AS m) WHERE len(ws) >= m)
+),
+counts AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10
+),
+cuts AS (
+  SELECT lang, m, phrase, f AS a, k,
+         array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS head,
+         array_to_string(list_slice(string_split(phrase, ' '), k + 1, m), ' ') AS tail
+  FROM counts, (SELECT unnest([1, 2]) AS k) WHERE k < m
+),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head
+  JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '),
+                            array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase
+    FROM counts WHERE m = 3) GROUP BY lang, phrase
+),
+kept AS (
+  SELECT o.* FROM lowest o LEFT JOIN inside i ON i.lang = o.lang AND i.phrase = o.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * o.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+) JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op8_quality": _OP8}
+    return {"op8_quality": _OP8, "op12_phrases": _OP12}
