@@ -7,45 +7,52 @@ invalid first copy still makes the later copies duplicates.
 
 Hot keys. A plain window puts every copy of one id in one task; one id
 (NULL ids form one group) may hold a large share of all lines. With a
-``SkewPolicy`` every key is cut at some of its own lines:
-
-1. A line is a cut when a hash of its key and order columns is 0 modulo
-   ``rows_per_cut``: chosen by content, so every evaluation agrees. A key
-   with n lines has about n / rows_per_cut cuts, most keys have none.
-2. A line's bucket is the number of its key's cuts that are not after it in
-   the whole source order (searched in two levels of ``FAN`` and the rest).
-3. Per (key, bucket) line counts of the cut keys give rank offsets.
-4. One window over (key, bucket) numbers every line; the rank is that
-   number plus the bucket's offset: exactly the row number over the key.
-
-Everything is one lazy plan: nothing is collected, no key is left out and
-no count is capped. The cut and offset tables have about one row for every
-``rows_per_cut`` lines; Spark broadcasts them only below its size limit
-and splits skewed join partitions otherwise. Steps 1 and 3 read ``lines``,
-a frame of the key and order columns alone, so the caller can hand in a
-pruned scan instead of having the lines' joins evaluated again.
+``SkewPolicy`` the rank is a prefix count over range partitions:
+
+1. The key and order columns alone are range-partitioned on (key, order),
+   so a key of any size is cut by its own order, and every line gets its
+   number within (partition, key). This table is written once: partition
+   borders are sampled, so counts and numbers must come from one run.
+2. A key that goes on in a later partition is the last key of the earlier
+   one. The first and last key of every partition, with the last one's line
+   count, are added up by key into one offset a partition: a table of at
+   most one row for each range partition, which is broadcast.
+3. rank = number in the partition + the partition's offset, for its first
+   key. Lines of rank 2 and more are joined back to the wide lines on (key,
+   order), which names a line, so that join has no hot key; all others have
+   rank 1. Spark broadcasts the later copies when they are few, and then
+   the wide lines are not shuffled at all.
+
+Work is linear (a sort within each partition) in the lines of a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.operators.normalize import SOURCE_ROW_ID
+from salesmart.session import scratch_uri
 
 DUPLICATE_RANK = "_duplicate_rank"
 TRANSACTION_KEY = "transaction_id"
-FAN = 512
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """How finely keys are cut for ranking: lines per cut, on average."""
+    """How the key columns are range-partitioned for ranking.
 
-    rows_per_cut: int = 500_000
+    ``rows_per_cut``: lines of a range partition, on average (None: as many
+    partitions as the session shuffles to). ``workspace``: the folder of the
+    table of numbered keys (None: a fresh one under the shared scratch).
+    """
+
+    rows_per_cut: int | None = None
+    workspace: str | None = None
 
 
 DEFAULT_SKEW = SkewPolicy()
@@ -60,30 +67,59 @@ def _plain_rank(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     return df.withColumn(DUPLICATE_RANK, F.row_number().over(window).cast("long"))
 
 
-def key_cuts(lines: DataFrame, key: str, order_by: Sequence[str], policy: SkewPolicy) -> DataFrame:
-    """``(_cut_key, _cuts, _coarse)``: the sorted order tuples of each cut key's cuts.
+def numbered_keys(lines: DataFrame, key: str, order_by: Sequence[str], policy: SkewPolicy) -> DataFrame:
+    """``(key, *order_by, _part, _local)``: each line's range partition and its number there, written.
 
-    ``_coarse`` holds every FAN-th of them, for the first search level.
+    Two lines with equal key and order cannot be told apart and fail the job.
     """
-    chosen = F.pmod(F.xxhash64(key, *order_by), F.lit(policy.rows_per_cut)) == 0
-    cuts = (
-        lines.where(chosen)
-        .groupBy(F.col(key).alias("_cut_key"))
-        .agg(F.sort_array(F.collect_set(F.struct(*order_by))).alias("_cuts"))
-    )
-    return cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: i % FAN == 0))
+    columns = [*_order([key]), *_order(order_by)]
+    if policy.rows_per_cut:
+        parts = max(1, -(-lines.count() // policy.rows_per_cut))
+        ranged = lines.repartitionByRange(parts, *columns)
+    else:
+        ranged = lines.repartitionByRange(*columns)
+    place = F.struct(*order_by)
+    here = Window.partitionBy("_part", key).orderBy(*_order(order_by))
+    number = F.when(
+        F.lag(place).over(here).eqNullSafe(place),
+        F.raise_error(F.lit(f"{list(order_by)} does not order the lines of one {key}")).cast("int"),
+    ).otherwise(F.row_number().over(here))
+    numbered = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_local", number)
+    path = policy.workspace or scratch_uri(lines.sparkSession, "numbered-keys")
+    numbered.write.mode("overwrite").parquet(path)
+    return lines.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
-def _bucket(order_by: Sequence[str]) -> Column:
-    """How many cuts are not after the line; 0 without cuts."""
-    place = F.struct(*order_by)
+def partition_offsets(numbered: DataFrame, key: str) -> DataFrame:
+    """``(_opart, _first, _offset)``: lines of a partition's first key that earlier partitions hold.
+
+    At most one row for each range partition.
+    """
+    whole_key = F.struct(F.col(key).alias("key"))
+    ends = numbered.groupBy("_part").agg(
+        F.min(whole_key).alias("first"), F.max(F.struct(whole_key.alias("key"), "_local")).alias("last")
+    )
+    # an end counts for later partitions that begin with its key; a beginning asks for the sum
+    events = F.array(
+        F.struct(F.col("first").alias("key"), F.lit(0).alias("n"), F.lit(True).alias("asks")),
+        F.struct(F.col("last.key").alias("key"), F.col("last._local").alias("n"), F.lit(False).alias("asks")),
+    )
+    events = ends.select("_part", F.explode(events).alias("e")).select("_part", "e.*")
+    earlier = Window.partitionBy("key").orderBy("_part").rangeBetween(Window.unboundedPreceding, -1)
+    sums = events.withColumn("_offset", F.sum("n").over(earlier))
+    return sums.where(F.col("asks") & (F.col("_offset") > 0)).select(
+        F.col("_part").alias("_opart"), F.col("key").alias("_first"), "_offset"
+    )
 
-    def not_after(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda c: c <= place))
 
-    above = F.greatest(not_after(F.col("_coarse")) - 1, F.lit(0)) * FAN
-    inside = not_after(F.slice("_cuts", above + 1, F.lit(FAN)))
-    return F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(above + inside).cast("long")
+def later_copies(lines: DataFrame, key: str, order_by: Sequence[str], policy: SkewPolicy) -> DataFrame:
+    """``(key, *order_by, rank)`` of every line but the first of its key."""
+    numbered = numbered_keys(lines, key, order_by, policy)
+    offsets = partition_offsets(numbered, key)
+    of_first_key = (F.col("_part") == F.col("_opart")) & (F.struct(F.col(key).alias("key")) == F.col("_first"))
+    rank = F.col("_local").cast("long") + F.coalesce(F.col("_offset"), F.lit(0))
+    ranked = numbered.join(F.broadcast(offsets), of_first_key, "left")  # one row a range partition
+    return ranked.select(key, *order_by, rank.alias(DUPLICATE_RANK)).where(F.col(DUPLICATE_RANK) > 1)
 
 
 def rank_duplicates(
@@ -99,32 +135,17 @@ def rank_duplicates(
     deterministic under re-execution, and must be persisted values when
     ``skew`` is given (the plan reads them more than once). NULL keys form
     one group (all but the first NULL-key row are duplicates). ``lines``
-    holds the same key and order columns as ``df`` (default: ``df``).
+    holds the same key and order columns as ``df`` (default: ``df``): a
+    pruned scan spares evaluating the lines' joins for the ranks.
     """
     order_by = list(order_by)
     if skew is None:
         return _plain_rank(df, key, order_by)
     lines = (df if lines is None else lines).select(key, *order_by)
-    cuts = key_cuts(lines, key, order_by, skew)
-
-    def bucketed(frame: DataFrame, how: str) -> DataFrame:
-        joined = frame.join(cuts, F.col(key).eqNullSafe(F.col("_cut_key")), how)
-        return joined.withColumn("_bucket", _bucket(order_by)).drop("_cut_key", "_cuts", "_coarse")
-
-    counts = bucketed(lines, "inner").groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    lower = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col(key).alias("_okey"),
-        F.col("_bucket").alias("_obucket"),
-        F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_offset"),
-    )
-    local = bucketed(df, "left").withColumn(
-        "_local", F.row_number().over(Window.partitionBy(key, "_bucket").orderBy(*_order(order_by)))
-    )
-    ranked = local.join(
-        offsets, F.col(key).eqNullSafe(F.col("_okey")) & (F.col("_bucket") == F.col("_obucket")), "left"
-    )
-    rank = F.col("_local").cast("long") + F.coalesce(F.col("_offset"), F.lit(0))
-    return ranked.withColumn(DUPLICATE_RANK, rank).drop(
-        "_bucket", "_local", "_okey", "_obucket", "_offset"
-    )
+    copies = later_copies(lines, key, order_by, skew)
+    names = {c: f"_copy_{i}" for i, c in enumerate([key, *order_by])}
+    copies = copies.withColumnsRenamed({**names, DUPLICATE_RANK: "_copy_rank"})
+    same_line = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    ranked = df.join(copies, same_line, "left")
+    rank = F.coalesce(F.col("_copy_rank"), F.lit(1).cast("long"))
+    return ranked.withColumn(DUPLICATE_RANK, rank).drop("_copy_rank", *names.values())
