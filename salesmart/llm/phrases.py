@@ -30,10 +30,12 @@ square root of the corpus, as executor memory allows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -52,8 +54,10 @@ CONTAINED_PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
 NO_LANG = "und"
+#: Shares in which a language's phrases are ranked first.
+RANK_SHARES = 8
 
-BLOCK_WORDS = 600_000
+BLOCK_WORDS = 900_000
 #: Distinct phrases of blocks for one range.
 RANGE_KEYS = 2_000_000
 SPARE_BITS = 10
@@ -204,56 +208,68 @@ def blocks_of(dictionary: DataFrame, block_words: int) -> DataFrame:
     return map_batches(dictionary, run, BLOCK)
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are met, through the given counter."""
+
+    def __init__(self, counter: Iterator[int]):
+        super().__init__({SEPARATOR: 0})
+        self.counter = counter
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = next(self.counter)
+        return value
+
+
 class BlockPhrases:
     """The distinct phrases of a block by ascending truncated hash, with their weighted counts."""
 
     def __init__(self, row: dict, bits: int):
         lines = zstandard.ZstdDecompressor().decompress(row["chunks"]).split(b"\n")
-        known: dict[bytes, int] = {SEPARATOR: 0}
-        known_or_new = known.setdefault
+        self.langs = row["langs"]
+        # a word counts apart for each language; 0 is the separator
+        counter = itertools.count(1)
+        known = [_Numbers(counter) for _ in self.langs]
         symbols: list[int] = []
         ends: list[int] = []
-        for line in lines:
-            symbols += [known_or_new(t, len(known)) for t in line.split(b" ")]
+        for line, lang in zip(lines, unpack_counts(row["lang_of"]).tolist()):
+            symbols += map(known[lang].__getitem__, line.split(b" "))
             ends.append(len(symbols))
-        self.words = list(known)
-        self.langs = row["langs"]
-        symbol = np.array(symbols, np.int64)
+        del lines
+        word = np.array(symbols, np.int64)
         del symbols
+        width = next(counter)
+        self.words: list[bytes] = [SEPARATOR] * width
+        self.lang = np.zeros(width, np.int64)
+        for lang, numbers in enumerate(known):
+            for text, number in numbers.items():
+                if number:
+                    self.words[number] = text
+                    self.lang[number] = lang
+        del known
         ends_at = np.array(ends, np.int64)
         lengths = np.diff(ends_at, prepend=0)
-        owned = np.ones(len(symbol), np.bool_)
+        owned = np.ones(len(word), np.bool_)
         for k in range(1, OVERLAP + 1):
             owned[ends_at - k] = False
         freq = np.repeat(unpack_counts(row["freqs"]), lengths)
-        lang = np.repeat(unpack_counts(row["lang_of"]), lengths)
-        # a word counts apart for each language
-        names = lang * len(self.words) + symbol
-        del lang
-        self.names, word = np.unique(names, return_inverse=True)
-        del names
         lang_hash = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in self.langs], np.uint64)
         token_hash = np.array([xxhash.xxh64_intdigest(t) for t in self.words], np.uint64)
-        hashes = mix64(
-            token_hash[self.names % len(self.words)] ^ lang_hash[self.names // len(self.words)]
-        )
-        word_hash = hashes
-        width = len(self.names)
-        at = np.flatnonzero(owned & (symbol > 0))
+        word_hash = hashes = mix64(token_hash ^ lang_hash[self.lang])
+        at = np.flatnonzero(owned & (word > 0))
         count = np.bincount(word[at], freq[at], width)
         present = np.flatnonzero(count)  # a word may stand in overlaps alone
         self.distinct = [present]
         keys, counts = [hashes[present]], [count[present]]
         part = word
         for length in range(2, MAX_WORDS + 1):
-            at = at[symbol[at + length - 1] > 0]
+            at = at[word[at + length - 1] > 0]
             last = word[at + length - 1]
             distinct, place = np.unique(part[at] * width + last, return_inverse=True)
             hashes = mix64(hashes[distinct // width] * _C0 + word_hash[distinct % width] * _C1)
             self.distinct.append(distinct)
             keys.append(hashes)
             counts.append(np.bincount(place, freq[at], len(distinct)))
-            part = np.zeros(len(symbol), np.int64)
+            part = np.zeros(len(word), np.int64)
             part[at] = place
         self.width = width
         key = np.concatenate(keys) >> np.uint64(64 - bits)
@@ -261,28 +277,29 @@ class BlockPhrases:
         self.keys = key[self.order]
         self.counts = np.concatenate(counts).astype(np.int64)  # exact: sums below 2**53
 
-    def texts(self, chosen: np.ndarray) -> Iterator[tuple[str, bytes, int]]:
-        """(lang, phrase, count) of the phrases at the given places of the ascending order."""
+    def texts(self, chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """(lang, phrase, n) of the phrases at the given places of the ascending order."""
         chosen = np.sort(self.order[chosen])
-        counts = self.counts[chosen].tolist()
+        words, langs = pa.array(self.words, pa.binary()), pa.array(self.langs, pa.string())
         sizes = np.cumsum([0, *map(len, self.distinct)])
-        out = 0
         for length in range(1, MAX_WORDS + 1):
             low, high = np.searchsorted(chosen, sizes[length - 1 : length + 1])
-            part = self.distinct[length - 1][chosen[low:high] - sizes[length - 1]]
-            columns = []
-            for shorter in range(length - 1, 0, -1):
-                columns.append(part % self.width)
-                part = part // self.width
-                if shorter > 1:
-                    part = self.distinct[shorter - 1][part]
-            columns.append(part)
-            names = [self.names[c] for c in reversed(columns)]
-            langs = (names[0] // len(self.words)).tolist()
-            words = [(n % len(self.words)).tolist() for n in names]
-            for lang, *at in zip(langs, *words):
-                yield self.langs[lang], b" ".join([self.words[k] for k in at]), counts[out]
-                out += 1
+            for k in range(low, high, 50_000):
+                places = chosen[k : min(k + 50_000, high)]
+                part = self.distinct[length - 1][places - sizes[length - 1]]
+                columns = []
+                for shorter in range(length - 1, 0, -1):
+                    columns.append(part % self.width)
+                    part = part // self.width
+                    if shorter > 1:
+                        part = self.distinct[shorter - 1][part]
+                columns.append(part)
+                parts = [words.take(pa.array(c)) for c in reversed(columns)]
+                joined = pc.binary_join_element_wise(*parts, b" ") if length > 1 else parts[0]
+                yield pa.RecordBatch.from_arrays(
+                    [langs.take(pa.array(self.lang[part])), joined.cast(pa.string()), pa.array(self.counts[places])],
+                    names=["lang", "phrase", "n"],
+                )
 
     def ranges(self, bits: int, range_bits: int) -> np.ndarray:
         """Where each range of the leading ``range_bits`` begins."""
@@ -344,7 +361,6 @@ def _answers(asks: DataFrame, min_count: int) -> DataFrame:
 def _phrases(blocks: DataFrame, answers: DataFrame, bits: int, range_bits: int) -> DataFrame:
     """``(lang, phrase, n)``: each block's counts of the phrases that passed."""
     grouped = answers.groupBy("block").agg(F.collect_list(F.struct("range", "passed")).alias("answers"))
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,14 +373,7 @@ def _phrases(blocks: DataFrame, answers: DataFrame, bits: int, range_bits: int)
                     a, b = bounds[answer["range"] : answer["range"] + 2]
                     bit = np.unpackbits(np.frombuffer(answer["passed"], np.uint8), count=b - a)
                     chosen.append(a + np.flatnonzero(bit))
-                rows = list(block.texts(np.concatenate(chosen)))
-                del block
-                for k in range(0, len(rows), 20_000):
-                    langs, phrases, counts = zip(*rows[k : k + 20_000])
-                    text = pa.array(phrases, pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(langs, pa.string()), text, pa.array(counts, pa.int64())], schema=schema
-                    )
+                yield from block.texts(np.concatenate(chosen))
 
     return map_batches(blocks.join(grouped, "block"), run, "lang string, phrase string, n long")
 
@@ -471,8 +480,14 @@ def collocations(
     kept = lowest.join(inner, ["lang", "phrase"], "left").where(
         F.coalesce(100 * F.col("longer") < contained_percent * F.col("a"), F.lit(True))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+    def best(phrases: DataFrame, *group: Column | str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
+        return phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+    # a language's best are among the best of its shares, so no task ranks all of a language
+    share = F.pmod(F.xxhash64("phrase"), F.lit(RANK_SHARES))
+    ranked = best(best(kept, "lang", share), "lang")
     return ranked.join(totals, "lang").select(
         "lang",
         F.col("rank").cast("long").alias("rank"),
