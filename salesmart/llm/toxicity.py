@@ -24,12 +24,14 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,38 +119,54 @@ class TokenTable(dict):
     def __init__(self, lexicons: list[dict[str, float]]):
         super().__init__()
         self.lexicons = lexicons
-        self.rows = np.zeros((4096, self.COLUMNS + len(lexicons)), np.float32)
+        self.rows = np.zeros((0, self.COLUMNS + len(lexicons)), np.float32)
+        self.fresh: list[tuple] = []
 
     def __missing__(self, token: str) -> int:
-        place = len(self)
-        if place == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        word, hidden = core_of(token)
-        letters = sum(map(str.isalpha, token))
-        upper = sum(map(str.isupper, token))
-        digits = sum(map(str.isdigit, token))
-        signs = [c for c in token if not c.isalnum()]
-        symbols = sum(c in "#*$%&|<>@^~=+" for c in signs)
+        body = token.rstrip(".,;:!?")
+        if body.isalpha():  # a plain word, with its punctuation
+            signs, letters, digits, symbols = token[len(body) :], len(body), 0, 0
+            word = body.lower()
+            upper = 0 if word == body else sum(map(str.isupper, body))
+            plain = _STRETCHED.sub(r"\1", word)
+            hidden, word = plain != word, plain
+        else:
+            word, hidden = core_of(token)
+            letters = sum(map(str.isalpha, token))
+            upper = sum(map(str.isupper, token))
+            digits = sum(map(str.isdigit, token))
+            signs = [c for c in token if not c.isalnum()]
+            symbols = sum(c in "#*$%&|<>@^~=+" for c in signs)
         exclaim, ask = token.count("!"), token.count("?")
         units = units_of(word)
-        self.rows[place] = [
-            len(token),
-            letters,
-            upper,
-            digits,
-            exclaim,
-            ask,
-            symbols,
-            len(signs) - symbols - exclaim - ask,
-            letters > 1 and upper == letters,
-            hidden,
-            word in SECOND_PERSON,
-            word in INSULTS,
-            *(max((x[u] for u in units if u in x), default=0.0) for x in self.lexicons),
-        ]
-        self[token] = place
+        self.fresh.append(
+            (
+                len(token),
+                letters,
+                upper,
+                digits,
+                exclaim,
+                ask,
+                symbols,
+                len(signs) - symbols - exclaim - ask,
+                letters > 1 and upper == letters,
+                hidden,
+                word in SECOND_PERSON,
+                word in INSULTS,
+                *[max([x.get(u, 0.0) for u in units], default=0.0) for x in self.lexicons],
+            )
+        )
+        place = self[token] = len(self)
         return place
 
+    def numbers(self, tokens: Iterator[str], count: int) -> np.ndarray:
+        """Row numbers of the tokens; ``rows`` holds all of them afterwards."""
+        found = np.fromiter(map(self.__getitem__, tokens), np.int64, count)
+        if self.fresh:
+            self.rows = np.concatenate([self.rows, np.array(self.fresh, np.float32)])
+            self.fresh = []
+        return found
+
     def renewed(self) -> TokenTable:
         return TokenTable(self.lexicons) if len(self) > TABLE_WORDS else self
 
@@ -157,38 +175,47 @@ def features(texts: list[str | None], table: TokenTable, lexicon_of: np.ndarray)
     """``FEATURES`` of each text, its learned weights from the lexicon of the given number."""
     parts = [text.split() if text else [] for text in texts]
     lengths = np.array([len(p) for p in parts], np.int64)
-    flat = np.fromiter((table[t] for p in parts for t in p), np.int64, lengths.sum())
+    flat = table.numbers(chain.from_iterable(parts), lengths.sum())
     starts = np.cumsum(lengths) - lengths
-    owner = np.repeat(np.arange(len(texts)), lengths)
+    some = lengths > 0
     rows = table.rows[flat]
-    weight = rows[np.arange(len(flat)), TokenTable.COLUMNS + lexicon_of[owner]]
 
     def total(values: np.ndarray) -> np.ndarray:
-        return np.bincount(owner, values, len(texts))
+        """Sums over each text's words."""
+        out = np.zeros((len(texts), *values.shape[1:]))
+        if some.any():
+            out[some] = np.add.reduceat(values, starts[some], axis=0, dtype=np.float64)
+        return out
 
-    sums = np.stack([total(rows[:, k]) for k in range(TokenTable.COLUMNS)], axis=1)
+    sums = total(rows[:, : TokenTable.COLUMNS])
     chars, letters, upper, digits, exclaim, ask, symbols, other, caps, hidden, second, insults = sums.T
-    hit = (weight > 0) | (rows[:, 11] > 0)
+    if len(table.lexicons) == 1:
+        weight = rows[:, TokenTable.COLUMNS]
+    else:
+        weight = rows[np.arange(len(flat)), TokenTable.COLUMNS + np.repeat(lexicon_of, lengths)]
+    # few words are hits, and only they are looked at closer
+    hits = np.flatnonzero((weight > 0) | (rows[:, 11] > 0))
+    owner = np.searchsorted(starts + lengths, hits, side="right")
+    weight = weight[hits]
     seen = np.cumsum(np.append(0, rows[:, 10]))
-    place = np.arange(len(flat))
-    low = np.maximum(place - NEAR, starts[owner])
-    high = np.minimum(place + NEAR + 1, (starts + lengths)[owner])
-    near = hit & (seen[high] > seen[low])
+    low = np.maximum(hits - NEAR, starts[owner])
+    high = np.minimum(hits + NEAR + 1, (starts + lengths)[owner])
+    near = np.bincount(owner, seen[high] > seen[low], len(texts))
     top = np.zeros(len(texts))
     np.maximum.at(top, owner, weight)
     words = np.maximum(lengths, 1)
-    learned = total(weight > 0)
+    learned = np.bincount(owner, weight > 0, len(texts))
     return np.stack(
         [
             np.log1p(lengths),
             learned / words,
             np.log1p(learned),
             top,
-            total(weight) / words,
+            np.bincount(owner, weight, len(texts)) / words,
             insults / words,
             np.log1p(insults),
             second / words,
-            np.log1p(total(near)),
+            np.log1p(near),
             caps / words,
             upper / np.maximum(letters, 1),
             exclaim / np.maximum(chars, 1),
@@ -207,8 +234,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices of some hundred rows with about ``GROUP_WORDS`` words of text, or one longer row."""
     for batch in batches:
         at, size = 0, 0
-        lengths = [len(t) // 6 if t else 0 for t in batch.column("text").to_pylist()]
-        for k, n in enumerate(lengths):
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy() // 6
+        for k, n in enumerate(lengths.tolist()):
             size += n
             if size >= GROUP_WORDS or k - at >= 500:
                 yield batch.slice(at, k + 1 - at)
@@ -262,14 +289,17 @@ def _unit_counts(sample: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: defaultdict[tuple, Counter] = defaultdict(Counter)
         known: dict[str, list[str]] = {}
 
-        def emit():
-            keys = list(zip(*counts)) or [(), (), ()]
-            arrays = [pa.array(v, f.type) for v, f in zip([*keys, list(counts.values())], schema)]
+        def emit() -> Iterator[pa.RecordBatch]:
+            for (fold, toxic), units in counts.items():
+                n = len(units)
+                arrays = [list(units), [fold] * n, [toxic] * n, list(units.values())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, f.type) for v, f in zip(arrays, schema)], schema=schema
+                )
             counts.clear()
-            return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         for batch in batches:
             for doc_id, text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
@@ -284,11 +314,10 @@ def _unit_counts(sample: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
                             known.clear()
                         known[token] = units
                     held.update(units)
-                fold = fold_of(doc_id)
-                counts.update((u, fold, toxic) for u in held)
-                if len(counts) > 500_000:
-                    yield emit()
-        yield emit()
+                counts[fold_of(doc_id), toxic].update(held)
+                if sum(map(len, counts.values())) > 500_000:
+                    yield from emit()
+        yield from emit()
 
     rows = map_batches(sample.select("doc_id", "text", "toxic"), run, "unit string, fold int, toxic int, n long")
     return rows.groupBy("unit", "fold", "toxic").agg(F.sum("n").alias("n"))
