@@ -243,6 +243,51 @@ def _share_body(keys: list[str], frame: list[str]) -> str:
     FROM (SELECT {k}, count(*) AS line_count FROM paid GROUP BY {k})"""
 
 
+def _job_outputs() -> str:
+    """Rows, a sum and cents of every table that a whole run writes, and its report."""
+
+    def cents(column: str) -> str:
+        return f"CAST(sum(round({column} * 100)) AS BIGINT)"
+
+    def total(column: str) -> str:
+        return f"CAST(sum({column}) AS BIGINT)"
+
+    none = "CAST(NULL AS BIGINT)"
+    rollups = {
+        "sales_by_product_daily": "transaction_date, product_id, product_name, category",
+        "sales_by_category_daily": "transaction_date, category",
+        "sales_by_city_daily": "transaction_date, city, region",
+        "sales_by_channel_daily": "transaction_date, channel",
+        "metric_overview_daily": "transaction_date",
+    }
+    parts = [
+        f"SELECT 'bronze.sales_transactions' AS output, count(*) AS row_count, {total('quantity')} AS total, "
+        f"{cents('net_revenue')} AS cents FROM raw_sales",
+        f"SELECT 'silver', count(*), {total('quantity')}, {cents('realized_revenue')} FROM silver",
+        f"SELECT 'quarantine', count(*), {total('_duplicate_rank')}, {cents('net_revenue')} "
+        "FROM checked WHERE quality_reason <> ''",
+        *[f"SELECT 'bronze.{n}', count(*), {none}, {none} FROM {n}" for n in ("products", "stores", "calendar")],
+        *[
+            f"SELECT 'gold.{n}', count(*), {total('units')}, {cents('revenue')} FROM "
+            f"(SELECT sum(quantity) AS units, sum(realized_revenue) AS revenue FROM paid GROUP BY {keys})"
+            for n, keys in rollups.items()
+        ],
+        f"SELECT 'reason.' || quality_reason, count(*), {none}, {none} FROM checked "
+        "WHERE quality_reason <> '' GROUP BY quality_reason",
+    ]
+    counts = {
+        "input_rows": "SELECT count(*) FROM raw_sales",
+        "accepted_rows": "SELECT count(*) FROM silver",
+        "rejected_rows": "SELECT count(*) FROM checked WHERE quality_reason <> ''",
+        "duplicate_rows": "SELECT count(*) FROM checked WHERE _duplicate_rank > 1",
+        "missing_product_rows":
+            "SELECT count(*) FROM checked WHERE product_id IS NULL OR product_id = '' OR product_name IS NULL",
+        "invalid_price_rows": "SELECT count(*) FROM checked WHERE unit_price IS NULL OR unit_price <= 0",
+    }
+    parts += [f"SELECT 'report.{c}', ({text}), {none}, {none}" for c, text in counts.items()]
+    return q(" UNION ALL ".join(parts))
+
+
 def oracle_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out["csv_roundtrip"] = q(f"SELECT {pub(SALES)} FROM raw_sales")
@@ -385,4 +430,9 @@ def oracle_queries() -> dict[str, str]:
     for name in ("metric_overview_daily", "sales_by_product_daily", "sales_by_category_daily",
                  "sales_by_city_daily", "sales_by_channel_daily"):
         out[f"sql_{name}"] = out[name]
+        out[f"sql_double_{name}"] = out[name]
+    out["silver_month_pruned"] = q(f"SELECT {pub(SILVER)} FROM silver WHERE year = 1995 AND month = 3")
+    for name in ("metric_overview_daily", "sales_by_city_daily"):
+        out[f"partials_{name}"] = out[name]
+    out["job_outputs"] = _job_outputs()
     return out

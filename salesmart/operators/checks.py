@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Hash buckets in which two datasets are compared.
+HASH_BUCKETS = 4096
 # Attributes every line of one order must share.
 ORDER_LEVEL_COLUMNS = ["transaction_date", "store_id", "channel", "order_status"]
 
@@ -41,16 +43,44 @@ def order_line_histogram(sales: DataFrame, key: str = "order_id") -> DataFrame:
     return per_order.groupBy("lines_per_order").agg(F.count(F.lit(1)).alias("order_count"))
 
 
-def dataset_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+def _fingerprints(df: DataFrame, buckets: int) -> DataFrame:
+    """By bucket of the row hash: row count and sums of two row hashes, whatever the rows' order."""
+    low = F.lit(0xFFFFFFFF)
+    rows = df.select(F.xxhash64(*df.columns).alias("h"), F.xxhash64(F.lit(1), *df.columns).alias("g"))
+    return rows.groupBy(F.pmod("h", F.lit(buckets)).alias("_bucket")).agg(
+        F.struct(
+            F.count(F.lit(1)).alias("n"),
+            F.bit_xor("h").alias("xor"),
+            F.sum(F.col("g").bitwiseAND(low)).alias("low"),
+            F.sum(F.shiftrightunsigned("g", 32)).alias("high"),
+        ).alias("print")
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
+    """``(_bucket)`` of the hash buckets in which the two sides differ: at most ``buckets`` rows."""
+    a, b = _fingerprints(left, buckets), _fingerprints(right, buckets).withColumnRenamed("print", "other")
+    joined = a.join(b, "_bucket", "full")
+    return joined.where(~F.col("print").eqNullSafe(F.col("other"))).select("_bucket")
+
+
+def dataset_differences(left: DataFrame, right: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
     """Rows (with multiplicity) present on one side only; empty when equal.
 
-    One grouped sum of +1 (left) and -1 (right) over all columns, so each
-    side is read once and shuffled once, combined before the shuffle; the
-    result carries a ``side`` column (``left_only`` / ``right_only``) before
-    the compared columns, a row for each surplus copy.
+    First both sides are reduced to a fingerprint for each bucket of the row
+    hash, which shuffles at most ``buckets`` small rows a task; only rows of
+    buckets whose fingerprints differ are then compared in full. (Unequal
+    buckets with equal counts and equal sums of two 64-bit hashes would be
+    taken as equal.) There, one grouped sum of +1 (left) and -1 (right) over
+    all columns; the result carries a ``side`` column (``left_only`` /
+    ``right_only``) before the compared columns, a row for each surplus copy.
     """
     cols = left.columns
-    signed = left.withColumn("_n", F.lit(1)).unionByName(right.select(*cols).withColumn("_n", F.lit(-1)))
+    right = right.select(*cols)
+    differ = F.broadcast(differing_buckets(left, right, buckets))  # at most ``buckets`` longs
+    both = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
+    row_bucket = F.pmod(F.xxhash64(*cols), F.lit(buckets))
+    signed = both.withColumn("_row_bucket", row_bucket).join(differ, F.col("_row_bucket") == F.col("_bucket"))
     surplus = signed.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n != 0")
     side = F.when(F.col("_n") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n")))

@@ -51,6 +51,22 @@ def report_counts(input_rows: DataFrame, checked: DataFrame) -> DataFrame:
     return counts.select(*COUNT_COLUMNS)
 
 
+def counts_of_reasons(input_rows: int, accepted_rows: int, reasons: dict[str, int]) -> dict[str, int]:
+    """The six report counts from the reason map: substring tests on whole combinations."""
+
+    def mentioning(*labels: str) -> int:
+        return sum(n for reason, n in reasons.items() if any(x in reason for x in labels))
+
+    return {
+        "input_rows": input_rows,
+        "accepted_rows": accepted_rows,
+        "rejected_rows": sum(reasons.values()),
+        "duplicate_rows": mentioning("duplicate_transaction"),
+        "missing_product_rows": mentioning("missing_product_id", "unknown_product"),
+        "invalid_price_rows": mentioning("invalid_unit_price"),
+    }
+
+
 def count_rows(df: DataFrame, alias: str = "input_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 

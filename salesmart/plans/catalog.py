@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -21,7 +21,7 @@ from salesmart.operators.dedup import DUPLICATE_RANK
 from salesmart.operators.enrich import join_calendar, join_products, join_stores
 from salesmart.operators.normalize import add_source_row_id, line_measures, normalize_sales
 from salesmart.operators.quality import QUALITY_REASON, REASONS, RULES_BY_REASON, rule_hits
-from salesmart.plans import gold, gold_sql
+from salesmart.plans import gold, gold_sql, job, lattice
 from salesmart.plans.bronze import bronze_tables
 from salesmart.plans.silver import (
     accepted_sales,
@@ -29,16 +29,20 @@ from salesmart.plans.silver import (
     enriched_sales,
     quarantine_from_checked,
     ranked_sales,
+    read_silver,
+    write_silver,
 )
-from salesmart.schemas import SALES_COLUMNS, SALES_SCHEMA
+from salesmart.schemas import MONEY, SALES_COLUMNS, SALES_SCHEMA
 from salesmart.session import scratch_uri
 from salesmart.sources import files
 from salesmart.sources import retailview as rv
-from salesmart.sources.fixtures import sales_in_source_order
+from salesmart.sources.fixtures import build_raw_dataset, sales_in_source_order
+from salesmart.sources.layout import Layout
 
 Builder = Callable[[SparkSession, str], DataFrame]
 ROW_ID = ["transaction_id", *rv.SOURCE_ORDER]
 RAW_FILE_COUNT = 7
+SILVER_MONTH = (1995, 3)
 MONEY_EDGES = ("0.004", "-0.004", "NaN", "1e17", "1.005", "")
 
 
@@ -345,6 +349,83 @@ def _sql_builder(name: str) -> Builder:
     return build
 
 
+# -- written layers: partitioned silver, stored partials, DOUBLE money, the whole job ---
+
+def _stored_silver(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_uri(spark, "silver")
+    write_silver(_silver(spark, d), path)
+    return read_silver(spark, path, MONEY)
+
+
+def silver_month_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """One month of the stored silver lines, read from its directories alone."""
+    year, month = SILVER_MONTH
+    return public(_stored_silver(spark, d).where((F.col("year") == year) & (F.col("month") == month)))
+
+
+def _partials_builder(name: str) -> Builder:
+    """A gold table finished from the stored partials of two batches that share days and orders."""
+
+    def build(spark: SparkSession, d: str) -> DataFrame:
+        root = scratch_uri(spark, "partials")
+        silver = _stored_silver(spark, d)
+        late = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0
+        lattice.write_partials(silver.where(~late), root, "first")
+        lattice.write_partials(silver.where(late), root, "late")
+        return lattice.gold_from(*lattice.read_partials(spark, root))[name]
+
+    build.__name__ = f"partials_{name}"
+    return build
+
+
+def _double_sql_builder(name: str) -> Builder:
+    """A gold table by SQL over silver lines with DOUBLE money, as the job stores them."""
+
+    def build(spark: SparkSession, d: str) -> DataFrame:
+        return gold_sql.gold_table_sql(spark, public(_silver(spark, d)), name)
+
+    build.__name__ = f"sql_double_{name}"
+    return build
+
+
+def _summed_cents(column: str) -> Column:
+    return F.sum(F.round(F.col(column) * 100).cast("long"))
+
+
+def job_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """What a whole run writes: rows, a sum and cents of every table, and the numbers of the report."""
+    base = scratch_uri(spark, "job")
+    layout = Layout(f"{base}/raw", f"{base}/warehouse")
+    build_raw_dataset(spark, d, layout, inject_defects=False)
+    job.run(spark, layout)
+    report_read = job.read_report(spark, layout.quality_report_path)
+    none = F.lit(None).cast("long")
+    sales = files.read_parquet(spark, f"{layout.bronze_dir}/sales_transactions")
+    quarantine = files.read_parquet(spark, layout.quarantine_sales_path)
+    parts = [
+        ("bronze.sales_transactions", sales, F.sum("quantity"), _summed_cents("net_revenue")),
+        ("silver", read_silver(spark, layout.silver_sales_path), F.sum("quantity"), _summed_cents("realized_revenue")),
+        ("quarantine", quarantine, F.sum(DUPLICATE_RANK), _summed_cents("net_revenue")),
+    ]
+    parts += [
+        (f"bronze.{n}", files.read_parquet(spark, f"{layout.bronze_dir}/{n}"), none, none)
+        for n in ("products", "stores", "calendar")
+    ]
+    parts += [
+        (f"gold.{n}", files.read_parquet(spark, layout.gold_path(n)), F.sum("units_sold"), _summed_cents("net_revenue"))
+        for n in gold.GOLD_TABLES
+    ]
+    numbers = [(f"report.{c}", report_read[c]) for c in report.COUNT_COLUMNS]
+    numbers += [(f"reason.{r}", n) for r, n in report_read["rejection_reasons"].items()]
+    out = spark.createDataFrame(numbers, "output string, row_count long").select(
+        "output", "row_count", none.alias("total"), none.alias("cents")
+    )
+    for name, table, total, in_cents in parts:
+        row = table.agg(F.count(F.lit(1)).alias("row_count"), total.alias("total"), in_cents.alias("cents"))
+        out = out.unionByName(row.select(F.lit(name).alias("output"), "row_count", "total", "cents"))
+    return out
+
+
 def catalog() -> dict[str, Builder]:
     out: dict[str, Builder] = {
         "csv_roundtrip": csv_roundtrip,
@@ -394,4 +475,9 @@ def catalog() -> dict[str, Builder]:
     )
     for name in gold.GOLD_TABLES:
         out[f"sql_{name}"] = _sql_builder(name)
+        out[f"sql_double_{name}"] = _double_sql_builder(name)
+    out["silver_month_pruned"] = silver_month_pruned
+    for name in ("metric_overview_daily", "sales_by_city_daily"):
+        out[f"partials_{name}"] = _partials_builder(name)
+    out["job_outputs"] = job_outputs
     return out

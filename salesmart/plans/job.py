@@ -1,47 +1,59 @@
-"""The whole batch run (J4, J5): raw CSV -> bronze -> checked -> silver /
-quarantine -> gold -> quality report.
+"""The whole batch run (J4, J5): raw CSV -> bronze -> silver / quarantine ->
+gold -> quality report.
 
 Execution shape (versus evaluating the silver lineage once per output):
 
 1. The four CSVs are parsed once, into bronze Parquet (with the sales
    ingest order ``_source_row_id`` persisted).
-2. The checked lines (rank window + dimension joins + rules) are evaluated
-   ONCE and written to a staging table under the shared checkpoint
-   directory, partitioned by ``accepted``; this also cuts the lineage, so
-   a lost executor later never recomputes the window or the joins.
-3. Silver and quarantine are partition-pruned reads of the staging table.
-4. Gold aggregates the staged accepted lines with only the columns each
-   rollup needs.
-5. The report is one conditional-count pass over the staging table's
-   reason column (the bronze row count, from Parquet footers, joins it as a
-   scalar subquery) plus a grouped count of the rejected lines (bounded by
-   the number of reason combinations); only those small rows reach the
-   driver.
-6. Steps 3-5 only read the staged table and run as concurrent jobs; the
-   staged copy is released afterwards.
+2. The duplicate ranks are formed from the key columns alone and written
+   (only later copies are joined back), so the checked lines are a scan of
+   bronze with joins to small tables. Silver and quarantine are its two
+   complementary filters, each written once into its final layout: no
+   staged copy of the lines exists, every line is written exactly once.
+3. Silver is partitioned by year and month, its lines dealt out by month
+   first, large months over several files (``write_silver``).
+4. Gold reads silver twice: one base aggregate at the finest grain and the
+   distinct (day, order) pairs; the five tables are finished from these
+   stored partials (``plans.lattice``).
+5. The report is one grouped count of the quarantine's reason column (at
+   most one row for each reason combination reaches the driver) and row
+   counts of the written tables (Parquet footers).
+6. Everything is written to a directory of the run first and published by
+   renames at the end, so a run that fails leaves the earlier outputs whole.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.dedup import DEFAULT_SKEW, SkewPolicy
-from salesmart.operators.quality import QUALITY_REASON
-from salesmart.operators.report import count_rows, report_counts, report_document
+from salesmart.operators.quality import QUALITY_REASON, accepted_only, add_quality_reason, rejected_only
+from salesmart.operators.report import counts_of_reasons, report_document
 from salesmart.plans.actions import concurrently
 from salesmart.plans.bronze import read_bronze, without_ingest_time, write_bronze
-from salesmart.plans.gold import build_gold_tables
-from salesmart.plans.silver import checked_sales, to_silver
+from salesmart.plans.lattice import write_gold, write_partials
+from salesmart.plans.silver import enriched_sales, read_silver, to_silver, write_silver
 from salesmart.schemas import SCHEMAS, TABLE_NAMES
 from salesmart.session import scratch_uri
-from salesmart.sources.files import read_csv, read_json_file, release, write_json_file, write_parquet
+from salesmart.sources.files import (
+    publish,
+    read_csv,
+    read_json_file,
+    read_parquet,
+    release,
+    remove,
+    write_json_file,
+    write_parquet,
+)
 from salesmart.sources.layout import Layout
 
-ACCEPTED = "accepted"
 SALES_TABLE = "sales_transactions"
+FIRST_BATCH = "run"
 
 
 def load_raw_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -58,31 +70,6 @@ def load_raw_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]
     return dict(zip(TABLE_NAMES, frames))
 
 
-def stage_checked(spark: SparkSession, checked: DataFrame, staging_uri: str) -> DataFrame:
-    """Write the checked lines once (partitioned by ``accepted``) and read them back.
-
-    The read uses the written schema, so an empty result (no data files to
-    infer from) reads back as an empty table rather than failing.
-    """
-    flagged = checked.withColumn(ACCEPTED, F.col(QUALITY_REASON) == "")
-    write_parquet(flagged, staging_uri, partition_by=[ACCEPTED])
-    return spark.read.schema(flagged.schema).parquet(staging_uri)
-
-
-def _accepted() -> Column:
-    # Partition values read back as text; the filter on the partition column
-    # prunes whole directories either way.
-    return F.col(ACCEPTED).cast("boolean")
-
-
-def silver_from_staged(staged: DataFrame) -> DataFrame:
-    return to_silver(staged.where(_accepted()).drop(ACCEPTED))
-
-
-def quarantine_from_staged(staged: DataFrame) -> DataFrame:
-    return staged.where(~_accepted()).drop(ACCEPTED)
-
-
 def reason_counts(quarantine: DataFrame) -> dict[str, int]:
     """Rejected lines per reason combination; at most 2**rules rows reach the driver."""
     rows = quarantine.groupBy(QUALITY_REASON).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -94,52 +81,73 @@ def run(
     layout: Layout,
     order_by: Sequence[str] | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
+    split_heavy: bool = False,
 ) -> dict:
     """Run every layer and return the quality report (also written as JSON).
 
     ``skew`` controls when a transaction id is split across tasks for the
     duplicate rank (None: one plain window).
+
+    ``split_heavy`` is for products or stores beyond the broadcast size (see
+    ``operators.enrich``).
     """
-    raw = load_raw_tables(spark, layout)
-    bronze = read_bronze(spark, write_bronze(raw, layout.bronze_dir))
-    tables = {name: without_ingest_time(df) for name, df in bronze.items()}
-    staging_uri = scratch_uri(spark, "checked")
+    incoming = layout.incoming(uuid.uuid4().hex[:12])
     try:
-        document = _outputs(spark, layout, bronze, tables, order_by, skew, staging_uri)
+        document = _written(spark, incoming, order_by, skew, split_heavy)
+        publish(spark, {getattr(incoming, d): getattr(layout, d) for d in layout.published})
     finally:
-        release(spark, staging_uri)  # nothing reads the staged copy any more
+        remove(spark, incoming.warehouse_uri)  # empty by now, or what a failed run wrote
     write_report(spark, document, layout.quality_report_path)
     return document
 
 
-def _outputs(
+def _written(
     spark: SparkSession,
     layout: Layout,
-    bronze: dict[str, DataFrame],
-    tables: dict[str, DataFrame],
     order_by: Sequence[str] | None,
     skew: SkewPolicy | None,
-    staging_uri: str,
+    split_heavy: bool,
 ) -> dict:
-    """Silver, quarantine and gold from one evaluation of the checked lines; returns the report."""
-    staged = stage_checked(spark, checked_sales(tables, order_by, skew), staging_uri)
-
-    # Everything below reads the staged lines only, so it runs as concurrent
-    # jobs: gold is aggregated from the staged accepted lines (the same rows
-    # the silver write stores) instead of waiting for silver to be written.
-    silver = silver_from_staged(staged)
-    gold_writes = [
-        (lambda n=name, df=df: write_parquet(df, layout.gold_path(n)))
-        for name, df in build_gold_tables(silver).items()
-    ]
-    results = concurrently(
-        lambda: write_parquet(silver, layout.silver_sales_path),
-        lambda: write_parquet(quarantine_from_staged(staged), layout.quarantine_sales_path),
-        lambda: report_counts(count_rows(bronze["sales_transactions"]), staged).collect()[0].asDict(),
-        lambda: reason_counts(quarantine_from_staged(staged)),
-        *gold_writes,
+    """Every layer written under ``layout``; returns the report."""
+    raw = load_raw_tables(spark, layout)
+    bronze = read_bronze(spark, write_bronze(raw, layout.bronze_dir))
+    tables = {name: without_ingest_time(df) for name, df in bronze.items()}
+    if skew is not None:
+        skew = replace(skew, workspace=scratch_uri(spark, "numbered-keys"))
+    try:
+        write_lines(enriched_sales(tables, order_by, skew, split_heavy=split_heavy), layout)
+    finally:
+        if skew is not None:
+            release(spark, skew.workspace)  # nothing reads the numbered keys any more
+    return _derived(spark, bronze, layout)
+
+
+def write_lines(enriched: DataFrame, layout: Layout) -> None:
+    """Accepted lines to silver, rejected ones to the quarantine: each line once, a job each.
+
+    Silver filters on the rules' positive forms, so Catalyst makes its joins inner.
+    """
+    concurrently(
+        lambda: write_silver(to_silver(accepted_only(enriched)), layout.silver_sales_path),
+        lambda: write_parquet(rejected_only(add_quality_reason(enriched)), layout.quarantine_sales_path),
+    )
+
+
+def _derived(spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout) -> dict:
+    """Gold from the written silver, and the report; returns the report."""
+    silver = read_silver(spark, layout.silver_sales_path)
+
+    def gold() -> None:
+        write_partials(silver, layout.partials_dir, FIRST_BATCH)
+        write_gold(spark, layout.partials_dir, layout.gold_dir)
+
+    _, reasons, input_rows, accepted_rows = concurrently(
+        gold,
+        lambda: reason_counts(read_parquet(spark, layout.quarantine_sales_path)),
+        bronze[SALES_TABLE].count,
+        silver.count,
     )
-    return report_document(results[2], results[3])
+    return report_document(counts_of_reasons(input_rows, accepted_rows, reasons), reasons)
 
 
 def write_report(spark: SparkSession, document: dict, path: str) -> None:

@@ -2,9 +2,8 @@
 
 Two plan shapes give the same rows:
 
-* ``checked_sales`` keeps every line with its ``quality_reason``; the job
-  evaluates it once, writes it, and derives silver, quarantine and the
-  report from that written table.
+* ``checked_sales`` keeps every line with its ``quality_reason``; the
+  quarantine and its report need it.
 * ``accepted_sales`` needs silver only: the accept filter is an explicit
   AND of the rules' positive forms, so Catalyst converts the dimension
   joins to inner joins (pushing ``IS NOT NULL`` into the dimension scans)
@@ -17,14 +16,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from salesmart.operators.dedup import DEFAULT_SKEW, SkewPolicy, rank_duplicates
 from salesmart.operators.enrich import enrich
 from salesmart.operators.normalize import SOURCE_ROW_ID, add_realized_measures, add_source_row_id, normalize_sales
 from salesmart.operators.quality import QUALITY_REASON, accepted_only, add_quality_reason, rejected_only
-from salesmart.sources.files import ORIGIN_COLUMNS
+from salesmart.schemas import CALENDAR_SCHEMA, PRODUCT_SCHEMA, RAW_MONEY, SALES_SCHEMA, STORE_SCHEMA
+from salesmart.sources.files import ORIGIN_COLUMNS, write_parquet
 
 Tables = dict[str, DataFrame]
 
@@ -64,12 +65,15 @@ def enriched_sales(
     order_by: Sequence[str] | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
     keys: DataFrame | None = None,
+    split_heavy: bool = False,
 ) -> DataFrame:
+    """Ranked lines with the attributes of their product, store and day (``split_heavy``: see ``enrich``)."""
     return enrich(
         ranked_sales(tables["sales_transactions"], order_by, skew, keys),
         tables["products"],
         tables["stores"],
         tables["calendar"],
+        split_heavy,
     )
 
 
@@ -93,6 +97,44 @@ def to_silver(accepted: DataFrame) -> DataFrame:
     return add_realized_measures(accepted.drop(*drop))
 
 
+def silver_schema(money: DataType) -> StructType:
+    """Columns of the silver table, in its order, with the given type of money."""
+    attributes = [
+        f
+        for schema, key in ((PRODUCT_SCHEMA, "product_id"), (STORE_SCHEMA, "store_id"), (CALENDAR_SCHEMA, "date"))
+        for f in schema.fields
+        if f.name != key
+    ]
+    joined = ["store_id", "product_id"]
+    sales = [SALES_SCHEMA[c] for c in joined] + [f for f in SALES_SCHEMA.fields if f.name not in joined]
+    realized = [StructField(c, RAW_MONEY) for c in ("realized_revenue", "realized_margin")]
+    return StructType(
+        [
+            StructField(f.name, money if f.dataType == RAW_MONEY else f.dataType)
+            for f in [*sales, *attributes, *realized]
+        ]
+    )
+
+
+#: Directory levels of the silver table: calendar attributes of the line's day.
+SILVER_PARTITIONS = ["year", "month"]
+
+
+def write_silver(silver: DataFrame, path: str) -> None:
+    """Silver as Parquet, partitioned by year and month."""
+    write_parquet(silver, path, partition_by=SILVER_PARTITIONS)
+
+
+def read_silver(spark: SparkSession, path: str, money: DataType = RAW_MONEY) -> DataFrame:
+    """The written silver lines in their own column order; filters on year and month prune directories.
+
+    ``money`` is the type its money was written with. An empty table (no file
+    to take columns from) reads as one without rows.
+    """
+    schema = silver_schema(money)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def silver_from_checked(checked: DataFrame) -> DataFrame:
     return to_silver(checked.where(F.col(QUALITY_REASON) == ""))
 

@@ -7,6 +7,7 @@ disk of the driver except through Spark.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,24 +79,97 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None
 ) -> None:
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """A Parquet dataset; partitioned rows are dealt out by partition first.
+
+    Dealing out (``rebalance``) puts a partition's rows into few tasks, so it
+    gets few files, and adaptive execution splits a large partition over tasks
+    of about the advisory size, so its files are bounded and no task gets all.
+    """
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    dealt = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    dealt.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_json_file(spark: SparkSession, document: dict, path: str) -> None:
-    """One JSON document as one file, through the Hadoop file system of its URI."""
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _renamed(spark: SparkSession, source: str, target: str) -> None:
+    fs, old = _file_system(spark, source)
+    if not fs.rename(old, _file_system(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def write_json_file(spark: SparkSession, document: dict, path: str) -> None:
+    """One JSON document as one file, through the Hadoop file system of its URI.
+
+    Written under another name and then renamed, so a reader finds the whole
+    old document or the whole new one, and a failed write leaves the old one.
+    """
+    whole = bytearray(json.dumps(document, indent=2).encode("utf-8"))
+    aside = f"{path}.{uuid.uuid4().hex[:12]}.tmp"
+    fs, draft = _file_system(spark, aside)
     try:
-        out.write(bytearray(json.dumps(document, indent=2).encode("utf-8")))
+        out = fs.create(draft, True)
+        try:
+            out.write(whole)
+        finally:
+            out.close()
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        options[0] = hadoop.Options.Rename.OVERWRITE
+        context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+        context.rename(fs.makeQualified(draft), fs.makeQualified(hadoop.Path(path)), options)
     finally:
-        out.close()
+        if fs.exists(draft):
+            fs.delete(draft, False)
+
+
+def publish(spark: SparkSession, moves: dict[str, str]) -> None:
+    """Put written directories in the place of published ones (``{incoming: published}``).
+
+    Call it when all of them are complete. Each published directory is renamed
+    aside, the new one renamed into its place, and the old ones deleted once all
+    are in place; if a rename fails, the old directories are put back. A rename
+    moves no data on a file system that has it.
+    """
+    mark = uuid.uuid4().hex[:12]
+    done: list[tuple[str, str, str | None]] = []
+    try:
+        for source, target in moves.items():
+            fs, place = _file_system(spark, target)
+            aside = f"{target}.{mark}.old" if fs.exists(place) else None
+            if aside:
+                _renamed(spark, target, aside)
+            done.append((source, target, aside))
+            fs.mkdirs(place.getParent())
+            _renamed(spark, source, target)
+    except Exception:
+        for source, target, aside in reversed(done):
+            fs, place = _file_system(spark, target)
+            if fs.exists(place):
+                _renamed(spark, target, source)
+            if aside:
+                _renamed(spark, aside, target)
+        raise
+    for _, _, aside in done:
+        if aside:
+            fs, old = _file_system(spark, aside)
+            fs.delete(old, True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory that this run made."""
+    fs, place = _file_system(spark, path)
+    if fs.exists(place):
+        fs.delete(place, True)
 
 
 def read_json_file(spark: SparkSession, path: str) -> dict:

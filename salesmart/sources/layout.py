@@ -7,6 +7,7 @@ Plain strings so any Hadoop file system works (``s3a://``, ``abfss://``,
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 # Raw file names and layer directory names.
 RAW_FILES = {
@@ -75,6 +76,20 @@ class Layout:
     def gold_dir(self) -> str:
         return _join(self.warehouse_uri, "gold")
 
+    @property
+    def partials_dir(self) -> str:
+        """Mergeable partials that the gold tables are finished from."""
+        return _join(self.warehouse_uri, "gold_partials")
+
+    def incoming(self, run: str) -> Layout:
+        """Where a run writes before its outputs are published."""
+        return Layout(self.raw_uri, _join(self.warehouse_uri, f"incoming-{run}"))
+
+    #: Directories that a run replaces.
+    published: ClassVar[tuple[str, ...]] = (
+        "bronze_dir", "silver_dir", "quarantine_dir", "partials_dir", "gold_dir",
+    )
+
     def gold_path(self, table: str) -> str:
         return _join(self.gold_dir, table)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salesmart.operators.defects import inject_quality_issues
 from salesmart.plans.gold import GOLD_TABLES
 from salesmart.plans.job import read_report, run
+from salesmart.plans.silver import read_silver
 from salesmart.schemas import SALES_SCHEMA, SchemaContractError
 from salesmart.session import scratch_uri
 from salesmart.sources.files import read_csv, write_csv
@@ -52,7 +53,10 @@ def test_job_quarantines_the_injected_lines(spark):
     assert money["net_revenue"] == money["unit_price"] == money["realized_margin"] == "double"
 
     assert spark.read.parquet(f"{layout.bronze_dir}/sales_transactions").count() == 33
-    silver = spark.read.parquet(layout.silver_sales_path)
+    stored = spark.read.parquet(layout.silver_sales_path)
+    assert stored.columns[-2:] == ["year", "month"]  # its directory levels
+    silver = read_silver(spark, layout.silver_sales_path)
+    assert set(silver.columns) == set(stored.columns) and stored.count() == 30
     quarantine = spark.read.parquet(layout.quarantine_sales_path)
     assert silver.count() == 30 and quarantine.count() == 3
     assert silver.columns[:2] == ["store_id", "product_id"]

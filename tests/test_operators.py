@@ -116,13 +116,16 @@ def test_order_metadata_null_against_value_is_a_conflict(spark):
     assert got["X"]["channel_differs"] and not got["X"]["store_id_differs"] and got["Z"]["store_id_differs"]
 
 
-def test_dataset_differences_count_copies_and_scan_each_side_once(spark):
+def test_dataset_differences_count_copies_and_shuffle_rows_once(spark):
     from salesmart.operators.checks import dataset_differences
 
     left = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "x"), (2, "x")], "a int, b string")
     right = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "a int, b string")
     diff = dataset_differences(left, right)
-    assert diff._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    # whole rows are shuffled once, and only those of differing buckets; fingerprints by bucket
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(a#") == 1
+    assert plan.count("FullOuter") == 1 and plan.count("BroadcastHashJoin") == 1
     got = sorted((r["side"], r["a"], r["b"]) for r in diff.collect())
     assert got == [("left_only", 1, None), ("left_only", 2, "x"), ("left_only", 2, "x"), ("right_only", 3, "y")]
 

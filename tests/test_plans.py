@@ -50,13 +50,38 @@ def test_gold_sql_path_equals_dataframe_path(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
 
 
-def test_staged_layers_do_not_recompute_the_checked_lines(spark):
-    from salesmart.plans.job import quarantine_from_staged, silver_from_staged, stage_checked
+def test_gold_reads_the_silver_lines_twice(spark):
+    """Base partials and (day, order) pairs; the five tables read these two alone."""
+    from salesmart.plans.job import write_lines
+    from salesmart.plans.lattice import base_partials, day_orders, gold_from, read_partials, write_partials
+    from salesmart.plans.silver import enriched_sales, read_silver
     from salesmart.session import scratch_uri
+    from salesmart.sources.layout import Layout
 
-    staged = stage_checked(spark, checked_sales(tables(spark, clean_lines(10))), scratch_uri(spark, "staged"))
-    for df in (silver_from_staged(staged), quarantine_from_staged(staged)):
+    base = scratch_uri(spark, "lattice-plan")
+    layout = Layout(f"{base}/raw", f"{base}/wh")
+    write_lines(enriched_sales(tables(spark, clean_lines(10))), layout)
+    silver = read_silver(spark, layout.silver_sales_path)
+    for df in (base_partials(silver), day_orders(silver)):
         plan = _plan(df)
-        assert "Window" not in plan and "Exchange" not in plan and "Join" not in plan
-        filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
-        assert "accepted" in filters  # whole partition directories are pruned
+        assert plan.count("FileScan") == 1 and "Window" not in plan and "Join" not in plan
+    write_partials(silver, layout.partials_dir, "run")
+    partials = read_partials(spark, layout.partials_dir)
+    for name, df in gold_from(*partials).items():
+        plan = _plan(df)
+        assert "sales_enriched" not in plan and plan.count("FileScan") <= 2, name
+
+
+def test_silver_reads_one_month_by_its_directories(spark):
+    from salesmart.plans.silver import read_silver, write_silver
+    from salesmart.session import scratch_uri
+
+    path = scratch_uri(spark, "silver-months")
+    silver = accepted_sales(tables(spark, clean_lines(30), start="2025-01-01", end="2025-03-31"))
+    write_silver(silver, path)
+    back = read_silver(spark, path)
+    assert back.columns == silver.columns and [f.dataType for f in back.schema] == [f.dataType for f in silver.schema]
+    assert back.exceptAll(silver).count() == 0 and silver.exceptAll(back).count() == 0
+    month = back.where("year = 2025 and month = 1").select("order_id")
+    filters = _plan(month).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "year" in filters and "month" in filters
