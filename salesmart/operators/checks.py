@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Hash buckets in which two datasets are compared.
@@ -43,11 +43,18 @@ def order_line_histogram(sales: DataFrame, key: str = "order_id") -> DataFrame:
     return per_order.groupBy("lines_per_order").agg(F.count(F.lit(1)).alias("order_count"))
 
 
+def _bucket(row_hash: Column, buckets: int) -> Column:
+    """The low bits of a row hash: never NULL, so the optimizer adds no filter on the hash's inputs."""
+    if buckets < 1 or buckets & (buckets - 1):
+        raise ValueError("the number of buckets is a power of two")
+    return row_hash.bitwiseAND(F.lit(buckets - 1).cast("long"))
+
+
 def _fingerprints(df: DataFrame, buckets: int) -> DataFrame:
     """By bucket of the row hash: row count and sums of two row hashes, whatever the rows' order."""
     low = F.lit(0xFFFFFFFF)
     rows = df.select(F.xxhash64(*df.columns).alias("h"), F.xxhash64(F.lit(1), *df.columns).alias("g"))
-    return rows.groupBy(F.pmod("h", F.lit(buckets)).alias("_bucket")).agg(
+    return rows.groupBy(_bucket(F.col("h"), buckets).alias("_bucket")).agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
             F.bit_xor("h").alias("xor"),
@@ -58,7 +65,10 @@ def _fingerprints(df: DataFrame, buckets: int) -> DataFrame:
 
 
 def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
-    """``(_bucket)`` of the hash buckets in which the two sides differ: at most ``buckets`` rows."""
+    """``(_bucket)`` of the hash buckets in which the two sides differ: at most ``buckets`` rows.
+
+    ``buckets`` is a power of two.
+    """
     a, b = _fingerprints(left, buckets), _fingerprints(right, buckets).withColumnRenamed("print", "other")
     joined = a.join(b, "_bucket", "full")
     return joined.where(~F.col("print").eqNullSafe(F.col("other"))).select("_bucket")
@@ -79,7 +89,7 @@ def dataset_differences(left: DataFrame, right: DataFrame, buckets: int = HASH_B
     right = right.select(*cols)
     differ = F.broadcast(differing_buckets(left, right, buckets))  # at most ``buckets`` longs
     both = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
-    row_bucket = F.pmod(F.xxhash64(*cols), F.lit(buckets))
+    row_bucket = _bucket(F.xxhash64(*cols), buckets)
     signed = both.withColumn("_row_bucket", row_bucket).join(differ, F.col("_row_bucket") == F.col("_bucket"))
     surplus = signed.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n != 0")
     side = F.when(F.col("_n") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))

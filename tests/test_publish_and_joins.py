@@ -91,10 +91,12 @@ def test_equal_datasets_have_no_differing_bucket(spark):
 def test_only_rows_of_differing_buckets_are_compared(spark):
     a = spark.range(20_000).withColumn("v", F.col("id") * 2)
     b = a.where("id != 77")
-    plan = checks.dataset_differences(a, b)
-    rows = plan.collect()
+    differ = checks.differing_buckets(a, b).collect()
+    assert len(differ) == 1
+    rows = checks.dataset_differences(a, b).collect()
     assert [(r["side"], r["id"]) for r in rows] == [("left_only", 77)]
-    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(id#") == 1
+    with pytest.raises(ValueError, match="power of two"):
+        checks.differing_buckets(a, b, buckets=1000)
 
 
 def _skewed(spark, n=12_000):
