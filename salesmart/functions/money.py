@@ -94,9 +94,38 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+#: Limbs of common amounts: the first and the last that the short way takes, and the last one's bound.
+SHORT_LOW, SHORT_HIGH = 1, 5
+SHORT_LIMIT = 2**27
+
+
 def nearest_double(limbs: str) -> str:
     """The double nearest to the number that limb sums stand for; NULL without amounts.
 
+    Sums of common amounts (bits from 2**-72 on, below 2**51) are one DECIMAL integer.
+    """
+    others = [f"{limbs}[{k}] = 0" for k in range(LIMBS) if not SHORT_LOW <= k <= SHORT_HIGH]
+    small = [f"abs({limbs}[{k}]) < {2**50}" for k in range(SHORT_LOW, SHORT_HIGH)]
+    short = " AND ".join([*others, *small, f"abs({limbs}[{SHORT_HIGH}]) < {SHORT_LIMIT}"])
+    parts = []
+    for k in range(SHORT_LOW, SHORT_HIGH + 1):
+        unit = 2 ** (LIMB_BITS * (k - SHORT_LOW))
+        width = 9 if k == SHORT_HIGH else 16
+        term = f"CAST({limbs}[{k}] AS DECIMAL({width},0)) * CAST({unit}BD AS DECIMAL({len(str(unit))},0))"
+        parts.append(f"CAST({term} AS DECIMAL(38,0))")
+    total = parts[0]
+    for part in parts[1:]:
+        total = f"CAST({total} + {part} AS DECIMAL(38,0))"
+    scale = _double(2.0 ** (LOWEST_BIT + LIMB_BITS * SHORT_LOW))
+    return (
+        f"CASE WHEN {limbs}[0] IS NOT NULL THEN "
+        f"CASE WHEN {short} THEN CAST({total} AS DOUBLE) * {scale} ELSE {_nearest_of_all(limbs)} END END"
+    )
+
+
+def _nearest_of_all(limbs: str) -> str:
+    """``nearest_double`` for any limb sums: carried into digits, sign and magnitude apart.
+
     The four highest digits and a mark for anything below them hold more bits
     than a double, so that one rounding, of a DECIMAL to DOUBLE, is all.
     """
@@ -124,7 +153,7 @@ def nearest_double(limbs: str) -> str:
             f"CASE WHEN n THEN -({magnitude}) ELSE {magnitude} END",
         ),
     )
-    return f"CASE WHEN {limbs}[0] IS NOT NULL THEN {signed} END"
+    return signed
 
 
 # --- rounded sums and means, as SQL text

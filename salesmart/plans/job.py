@@ -12,9 +12,9 @@ Execution shape (versus evaluating the silver lineage once per output):
    staged copy of the lines exists, every line is written exactly once.
 3. Silver is partitioned by year and month, its lines dealt out by month
    first, large months over several files (``write_silver``).
-4. Gold reads silver twice: one base aggregate at the finest grain and the
-   distinct (day, order) pairs; the five tables are finished from these
-   stored partials (``plans.lattice``).
+4. Gold reads silver twice: one base aggregate at the finest grain and one by
+   (day, order); the five tables are finished from these stored partials
+   (``plans.lattice``).
 5. The report is one grouped count of the quarantine's reason column (at
    most one row for each reason combination reaches the driver) and row
    counts of the written tables (Parquet footers).

@@ -1,13 +1,13 @@
-"""Gold from one mergeable base aggregate.
+"""Gold from two mergeable base aggregates.
 
-The paid silver lines are reduced once to the finest grain that every gold
-table rolls up from (day, product attributes, city, region, channel), and
-once to the distinct (day, order) pairs that exact order counts need. Both
-are stored and mergeable: lines, units and exact money sums add up, pairs
-unite. All five gold tables are re-aggregates of these two tables, so the
-lines are scanned twice whatever the number of tables, and a late batch of
-lines only adds its own partials: the tables are then finished anew from the
-partials, never from the lines.
+The paid silver lines are reduced once to the finest grain that the four
+rollups share (day, product attributes, city, region, channel) and once to (day,
+order), which exact order counts need. Both hold lines, units or money sums
+that add up, so both are stored and mergeable: equal grains of several batches
+add up, equal orders unite. All five gold tables are re-aggregates of these two
+tables. The lines are scanned twice whatever the number of tables, and a late
+batch of lines only adds its own partials: the tables are then finished anew
+from the partials, never from the lines.
 
 Money sums are stored as mergeable state (see ``functions.money``).
 """
@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.money import (
@@ -37,47 +37,53 @@ from salesmart.sources.layout import Layout
 
 DAY = "transaction_date"
 BASE_GRAIN = [DAY, "product_id", "product_name", "category", "city", "region", "channel"]
-MEASURES = ["realized_revenue", "gross_revenue", "total_cost", "realized_margin"]
+BASE_MEASURES = ["realized_revenue", "realized_margin"]
+ORDER_GRAIN = [DAY, "order_id"]
+ORDER_MEASURES = ["gross_revenue", "total_cost"]
 #: Directory level of the stored partials: one directory for each batch of lines.
 BATCH = "batch"
 
 
 def base_partials(silver: DataFrame) -> DataFrame:
-    """Lines, units and money state of the paid lines by ``BASE_GRAIN``."""
-    states = [c for m in MEASURES for c in money_state(silver, m)]
+    """Lines, units and realized money of the paid lines by ``BASE_GRAIN``."""
     return paid_lines(silver).groupBy(*BASE_GRAIN).agg(
         F.count(F.lit(1)).alias("order_line_count"),
         F.sum("quantity").cast("long").alias("units_sold"),
-        *states,
+        *[c for m in BASE_MEASURES for c in money_state(silver, m)],
     )
 
 
-def day_orders(silver: DataFrame) -> DataFrame:
-    """The distinct (day, order) pairs of the paid lines; a line without an order id has none."""
-    return paid_lines(silver).where(F.col("order_id").isNotNull()).select(DAY, "order_id").distinct()
+def order_partials(silver: DataFrame) -> DataFrame:
+    """Gross and cost of the paid lines by (day, order); lines without an order id are one group of a day."""
+    states = [c for m in ORDER_MEASURES for c in money_state(silver, m)]
+    return paid_lines(silver).groupBy(*ORDER_GRAIN).agg(*states)
 
 
-def _merged(base: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def _merged_base(base: DataFrame, keys: Sequence[str]) -> DataFrame:
     return base.groupBy(*keys).agg(
         F.sum("order_line_count").alias("order_line_count"),
         F.sum("units_sold").alias("units_sold"),
-        *[c for m in measures for c in state_merge(base, m)],
+        *[c for m in BASE_MEASURES for c in state_merge(base, m)],
     )
 
 
+def _merged_orders(orders: DataFrame, keys: Sequence[str], *counts: Column) -> DataFrame:
+    return orders.groupBy(*keys).agg(*counts, *[c for m in ORDER_MEASURES for c in state_merge(orders, m)])
+
+
 def merge_base(parts: Sequence[DataFrame]) -> DataFrame:
     """One base aggregate of several batches' (equal grains add up)."""
-    return _merged(reduce(DataFrame.unionByName, parts), BASE_GRAIN, MEASURES)
+    return _merged_base(reduce(DataFrame.unionByName, parts), BASE_GRAIN)
 
 
 def merge_orders(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts).distinct()
+    """One table of (day, order) partials of several batches'."""
+    return _merged_orders(reduce(DataFrame.unionByName, parts), ORDER_GRAIN)
 
 
 def rollup_from(base: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A daily rollup by ``keys`` from base partials (of one or several batches)."""
-    merged = _merged(base, [DAY, *keys], ["realized_revenue", "realized_margin"])
-    return merged.select(
+    return _merged_base(base, [DAY, *keys]).select(
         DAY,
         *keys,
         "order_line_count",
@@ -88,14 +94,11 @@ def rollup_from(base: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def overview_from(base: DataFrame, orders: DataFrame) -> DataFrame:
-    """The daily overview from base partials and (day, order) pairs.
-
-    A day whose lines all lack an order id has no pair and counts 0 orders.
-    """
-    days = _merged(base, [DAY], MEASURES)
-    counts = orders.distinct().groupBy(DAY).agg(F.count(F.lit(1)).alias("_orders"))
-    joined = days.join(counts.withColumnRenamed(DAY, "_day"), F.col(DAY).eqNullSafe(F.col("_day")), "left")
-    ready = joined.withColumn("order_count", F.coalesce(F.col("_orders"), F.lit(0).cast("long")))
+    """The daily overview from base and order partials (of one or several batches)."""
+    lines = _merged_base(base, [DAY])
+    # an order of several batches is one group before it is counted
+    days = _merged_orders(merge_orders([orders]), [DAY], F.count("order_id").alias("order_count"))
+    ready = lines.join(days.withColumnRenamed(DAY, "_day"), F.col(DAY).eqNullSafe(F.col("_day")))
     if has_limb_state(base, "realized_revenue"):
         average = state_mean("realized_revenue", "order_count")
     else:  # DECIMAL money is divided in integer cents, as in ``plans.gold``
@@ -107,15 +110,15 @@ def overview_from(base: DataFrame, orders: DataFrame) -> DataFrame:
         "order_line_count",
         "units_sold",
         state_sum(base, "realized_revenue").alias("net_revenue"),
-        state_sum(base, "gross_revenue").alias("gross_revenue"),
-        state_sum(base, "total_cost").alias("total_cost"),
+        state_sum(orders, "gross_revenue").alias("gross_revenue"),
+        state_sum(orders, "total_cost").alias("total_cost"),
         state_sum(base, "realized_margin").alias("margin"),
         average.alias("average_order_value"),
     )
 
 
 def gold_from(base: DataFrame, orders: DataFrame) -> dict[str, DataFrame]:
-    """The five gold tables from base partials and (day, order) pairs."""
+    """The five gold tables from base and order partials."""
     return {
         name: overview_from(base, orders) if name == OVERVIEW else rollup_from(base, ROLLUP_KEYS[name])
         for name in GOLD_TABLES
@@ -129,15 +132,15 @@ def write_partials(silver: DataFrame, root: str, batch: str) -> None:
     """Store the partials of a batch of silver lines as ``<root>/<table>/batch=<batch>``."""
     concurrently(
         lambda: write_parquet(base_partials(silver), f"{root}/base/{BATCH}={batch}"),
-        lambda: write_parquet(day_orders(silver), f"{root}/day_orders/{BATCH}={batch}"),
+        lambda: write_parquet(order_partials(silver), f"{root}/orders/{BATCH}={batch}"),
     )
 
 
 def read_partials(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(base partials, day orders) of every stored batch."""
+    """(base partials, order partials) of every stored batch."""
     return (
         spark.read.parquet(f"{root}/base").drop(BATCH),
-        spark.read.parquet(f"{root}/day_orders").drop(BATCH),
+        spark.read.parquet(f"{root}/orders").drop(BATCH),
     )
 
 

@@ -53,7 +53,7 @@ def test_gold_sql_path_equals_dataframe_path(spark):
 def test_gold_reads_the_silver_lines_twice(spark):
     """Base partials and (day, order) pairs; the five tables read these two alone."""
     from salesmart.plans.job import write_lines
-    from salesmart.plans.lattice import base_partials, day_orders, gold_from, read_partials, write_partials
+    from salesmart.plans.lattice import base_partials, order_partials, gold_from, read_partials, write_partials
     from salesmart.plans.silver import enriched_sales, read_silver
     from salesmart.session import scratch_uri
     from salesmart.sources.layout import Layout
@@ -62,7 +62,7 @@ def test_gold_reads_the_silver_lines_twice(spark):
     layout = Layout(f"{base}/raw", f"{base}/wh")
     write_lines(enriched_sales(tables(spark, clean_lines(10))), layout)
     silver = read_silver(spark, layout.silver_sales_path)
-    for df in (base_partials(silver), day_orders(silver)):
+    for df in (base_partials(silver), order_partials(silver)):
         plan = _plan(df)
         assert plan.count("FileScan") == 1 and "Window" not in plan and "Join" not in plan
     write_partials(silver, layout.partials_dir, "run")
