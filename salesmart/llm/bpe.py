@@ -3,7 +3,9 @@
 A word's symbols stand in the leaves' order; leaf i holds ``rank << SHIFT | i``
 of the pair (symbol i, next symbol), or NONE. Inner nodes hold the minimum, so
 the root is the leftmost pair of the lowest rank. A merge changes at most three
-leaves, each updated in logarithmic time, until the root is NONE.
+leaves, each updated in logarithmic time, until the root is NONE. The trees of all
+new words of a batch are worked on together, a merge of each at a time
+(``merge_batch``); a word of more than ``BATCH_SYMBOLS`` bytes alone.
 
 The vocabulary file (about 2 MB) is read once on the driver from a path given as
 parameter and sent to the tasks; texts never leave their task, no shuffle. Each
@@ -21,17 +23,29 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from salesmart.llm.common import map_rows
+from salesmart.llm.common import map_batches
 
 #: Entries of one generation of the memo.
-MEMO_WORDS = 150_000
+MEMO_WORDS = 250_000
 #: Words longer than this are encoded anew each time, so the memo stays small.
 MEMO_CHARS = 64
+#: Words of more bytes have a tree of their own.
+BATCH_SYMBOLS = 126
+#: Words whose trees are worked on together.
+BATCH_WORDS = 20_000
+#: Texts whose new words are encoded together.
+BATCH_TEXTS = 250
 
 
 def _category_class(letter: str) -> str:
@@ -127,6 +141,91 @@ def merge_symbols(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, in
     return [s for s in symbols if s >= 0]
 
 
+class PairTable:
+    """The mergeable pairs as sorted arrays: (left, right) to rank, rank to merged symbol."""
+
+    #: Stands before and after a word; no symbol of a vocabulary.
+    OUTSIDE = 0xFFFF
+    NONE = 1 << 62
+
+    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]]):
+        keys = np.array([a << 16 | b for a, b in pairs], np.int64)
+        ranks = np.array([r for r, _ in pairs.values()], np.int64)
+        merged = np.array([m for _, m in pairs.values()], np.int64)
+        if len(keys) and max(map(max, pairs)) >= self.OUTSIDE:
+            raise ValueError("vocabularies of more than 65535 symbols are not supported")
+        order = np.argsort(keys)
+        self.keys, self.ranks = keys[order], ranks[order]
+        self.merged = np.zeros(int(ranks.max(initial=0)) + 1, np.int64)
+        self.merged[ranks] = merged
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, shift: int) -> np.ndarray:
+        """``rank << shift | at`` of each pair, NONE where it does not merge."""
+        if not len(self.keys):
+            return np.full(len(left), self.NONE)
+        key = left << 16 | right
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, self.ranks[place] << shift | at, self.NONE)
+
+
+def merge_batch(words: list[list[int]], table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """``merge_symbols`` of many words of at most ``BATCH_SYMBOLS`` symbols, in arrays.
+
+    Returns all words' symbols one after the other, and how many each word has.
+
+    A row is a word: its symbols at 1 .. n between two OUTSIDE, and its tree, leaf i
+    for the pair that begins at i. Each turn merges the root's pair in every row whose
+    root is not NONE.
+    """
+    count = len(words)
+    lengths = np.array([len(w) for w in words], np.int64)
+    size = 1 << int(lengths.max(initial=1) + 1).bit_length()  # leaves; positions 0 .. n + 1 fit
+    shift = size.bit_length()
+    symbol = np.full((count, size), PairTable.OUTSIDE, np.int64)
+    inside = np.arange(size) < lengths[:, None]
+    symbol[:, 1:][inside[:, :-1]] = np.array([s for w in words for s in w], np.int64)
+    tree = np.full((count, 2 * size), PairTable.NONE, np.int64)
+    at = np.arange(size - 1)
+    tree[:, size:-1] = table.leaves(
+        symbol[:, :-1].ravel(), symbol[:, 1:].ravel(), np.tile(at, count), shift
+    ).reshape(count, -1)
+    level = size
+    while level > 1:
+        tree[:, level // 2 : level] = np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2])
+        level //= 2
+    following = np.tile(np.arange(1, size + 1), (count, 1))
+    previous = np.tile(np.arange(-1, size - 1), (count, 1))
+    rows = np.arange(count)
+    while True:
+        root = tree[rows, 1]
+        go = root != PairTable.NONE
+        rows, root = rows[go], root[go]
+        if not len(rows):
+            break
+        i = root & ((1 << shift) - 1)
+        j = following[rows, i]
+        before, after = previous[rows, i], following[rows, j]
+        merged = table.merged[root >> shift]
+        symbol[rows, i] = merged
+        symbol[rows, j] = -1
+        following[rows, i] = after
+        previous[rows, after] = i
+        changed = (
+            (j, PairTable.NONE),
+            (i, table.leaves(merged, symbol[rows, after], i, shift)),
+            (before, table.leaves(symbol[rows, before], merged, before, shift)),
+        )
+        for leaf, value in changed:
+            tree[rows, size + leaf] = value
+        for leaf, _ in changed:
+            node = (size + leaf) >> 1
+            while node[0]:  # all leaves are on one level
+                tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
+                node >>= 1
+    keep = (symbol >= 0) & (symbol != PairTable.OUTSIDE)
+    return symbol[keep], keep.sum(axis=1)
+
+
 class WordBpe:
     """A byte-level BPE vocabulary with word ends, from the text of its JSON file."""
 
@@ -154,58 +253,116 @@ class WordBpe:
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
         self.words = word_pattern()
+        self.table = PairTable(self.pairs)
         # ids of words and of runs without spaces, in two generations: what is met again stays
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def word_ids(self, word: str) -> list[int]:
+    def _symbols(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
         symbols = [self.first[b] for b in raw]
         symbols[-1] = self.last[raw[-1]]
-        return merge_symbols(symbols, self.pairs)
+        return symbols
+
+    def word_ids(self, word: str) -> list[int]:
+        return merge_symbols(self._symbols(word), self.pairs)
 
-    def _remember(self, text: str, packed: bytes) -> bytes:
+    def _recall(self, text: str) -> bytes | None:
+        packed = self.memo.get(text)
+        if packed is None:
+            packed = self.older.get(text)
+            if packed is not None:
+                self._remember(text, packed)
+        return packed
+
+    def _remember(self, text: str, packed: bytes) -> None:
         if len(text) <= MEMO_CHARS:
             if len(self.memo) >= MEMO_WORDS:
                 self.older, self.memo = self.memo, {}
             self.memo[text] = packed
-        return packed
 
-    def _word(self, word: str) -> bytes:
-        packed = self.memo.get(word) or self.older.get(word)
-        return packed or self._remember(word, array("I", self.word_ids(word)).tobytes())
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a run of text without spaces, as little-endian 32-bit integers."""
-        packed = self.older.get(piece)
-        if packed is None:
-            words = self.words.findall(piece)
-            if len(words) == 1 and words[0] == piece:
-                return self._word(piece)
-            packed = b"".join(map(self._word, words))
-        return self._remember(piece, packed)
-
-    def _plain(self, text: str) -> bytes:
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Packed ids of each word, little-endian 32-bit integers; the words are distinct."""
+        out: dict[str, bytes] = {}
+        by_size: dict[int, list[tuple[str, list[int]]]] = {}
+        for word in words:
+            symbols = self._symbols(word)
+            if len(symbols) > BATCH_SYMBOLS:
+                out[word] = array("I", merge_symbols(symbols, self.pairs)).tobytes()
+            else:
+                by_size.setdefault((len(symbols) + 1).bit_length(), []).append((word, symbols))
+        for group in by_size.values():
+            for at in range(0, len(group), BATCH_WORDS):
+                part = group[at : at + BATCH_WORDS]
+                merged, counts = merge_batch([s for _, s in part], self.table)
+                packed = merged.astype("<u4").tobytes()
+                begin = 0
+                for (word, _), end in zip(part, (4 * np.cumsum(counts)).tolist()):
+                    out[word] = packed[begin:end]
+                    begin = end
+        return out
+
+    def _normal(self, text: str) -> str:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             if "Σ" in text:  # lower-cased without regard to its place in the word
                 text = text.replace("Σ", "σ")
-        found = []
-        for chunk in text.lower().split(" "):
-            ids = self.memo.get(chunk)
-            found.append(self._piece(chunk) if ids is None else ids)
-        return b"".join(found)
+        return text.lower()
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts without special tokens."""
+        runs = [self._normal(t).split(" ") for t in texts]
+        known: dict[str, bytes] = {}
+        new: dict[str, list[str]] = {}
+        recall = self.memo.get
+        for run in set(chain.from_iterable(runs)):
+            packed = recall(run)
+            if packed is None:
+                packed = self._recall(run)
+            if packed is None:
+                new[run] = self.words.findall(run)
+            else:
+                known[run] = packed
+        ids: dict[str, bytes] = {}
+        missing: list[str] = []
+        for word in set(chain.from_iterable(new.values())):
+            packed = known.get(word)
+            if packed is None:
+                packed = self._recall(word)
+            if packed is None:
+                missing.append(word)
+            else:
+                ids[word] = packed
+        encoded = self._encode_words(missing)
+        ids.update(encoded)
+        for run, words in new.items():
+            packed = known[run] = b"".join([ids[w] for w in words])
+            self._remember(run, packed)
+        for word, packed in encoded.items():
+            self._remember(word, packed)
+        return [b"".join([known[r] for r in run]) for run in runs]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """``encode`` of each text, their new words encoded together."""
+        out = [b""] * len(texts)
+        plain = [k for k, t in enumerate(texts) if t and "<|" not in t]
+        for at in range(0, len(plain), BATCH_TEXTS):
+            part = plain[at : at + BATCH_TEXTS]
+            for k, packed in zip(part, self._plain([texts[k] for k in part])):
+                out[k] = packed
+        for k, text in enumerate(texts):
+            if text and "<|" in text:
+                out[k] = self.encode(text)
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; none for a null or empty text."""
         if not text:
             return b""
-        if "<|" not in text:
-            return self._plain(text)
         parts = self.cut_special.split(text)
+        plain = iter(self._plain(parts[::2]))
         return b"".join(
-            array("I", [self.special[p]]).tobytes() if k % 2 else self._plain(p)
-            for k, p in enumerate(parts)
+            array("I", [self.special[p]]).tobytes() if k % 2 else next(plain) for k, p in enumerate(parts)
         )
 
     def decode(self, ids: bytes) -> str:
@@ -229,6 +386,25 @@ def _vocabulary(docs: DataFrame, path: str | None):
         return docs.sparkSession.sparkContext.broadcast(f.read())
 
 
+def _encoded(docs: DataFrame, id_col: str, text_col: str, vocabulary, row, columns: str) -> DataFrame:
+    """``doc_id`` and ``row(vocabulary, packed ids)`` of every row."""
+    schema = f"doc_id long, {columns}"
+    out_schema = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _loaded(vocabulary.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_TEXTS):
+                part = batch.slice(at, BATCH_TEXTS)
+                ids = bpe.encode_all(part.column(1).to_pylist())
+                values = zip(*[row(bpe, packed) for packed in ids])
+                arrays = [pa.array(v, type=f.type) for v, f in zip(values, list(out_schema)[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], schema=out_schema)
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return map_batches(source, run, schema)
+
+
 def encode_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -241,18 +417,10 @@ def encode_documents(
     """
     vocabulary = _vocabulary(docs, vocabulary_path)
 
-    def factory():
-        bpe = _loaded(vocabulary.value)
-
-        def row(doc_id, text):
-            ids = bpe.encode(text)
-            return doc_id, array("I", ids).tolist(), bpe.decode(ids)
-
-        return row
+    def row(bpe: WordBpe, ids: bytes) -> tuple:
+        return array("I", ids).tolist(), bpe.decode(ids)
 
-    factory.is_factory = True
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_rows(source, factory, "doc_id long, ids array<int>, decoded string", per_batch=500)
+    return _encoded(docs, id_col, text_col, vocabulary, row, "ids array<int>, decoded string")
 
 
 def bpe_digest(
@@ -264,23 +432,10 @@ def bpe_digest(
     """Token count and digests of the ids and of the decoded text of every row."""
     vocabulary = _vocabulary(docs, vocabulary_path)
 
-    def factory():
-        bpe = _loaded(vocabulary.value)
-
-        def row(doc_id, text):
-            ids = bpe.encode(text)
-            decoded = bpe.decode(ids).encode("utf-8")
-            return (
-                doc_id,
-                len(ids) // 4,
-                hashlib.sha256(ids).hexdigest(),
-                hashlib.sha256(decoded).hexdigest(),
-            )
+    def row(bpe: WordBpe, ids: bytes) -> tuple:
+        decoded = bpe.decode(ids).encode("utf-8")
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-        return row
-
-    factory.is_factory = True
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_rows(
-        source, factory, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _encoded(
+        docs, id_col, text_col, vocabulary, row, "n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
