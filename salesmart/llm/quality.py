@@ -29,8 +29,9 @@ from salesmart.session import scratch_uri
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-MAX_SHARE = 0.2
-MIN_TEXTS = 25
+#: A line is boilerplate in more than this share of a host's distinct texts and in more than so many.
+MAX_SHARE = 0.05
+MIN_TEXTS = 10
 
 
 def _is_blank(line: Column) -> Column:

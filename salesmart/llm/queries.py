@@ -120,7 +120,7 @@ texts AS (SELECT host, count(DISTINCT t) AS n_texts FROM docs GROUP BY host),
 frequent AS (
   SELECT l.host, l.norm
   FROM (SELECT host, norm, count(DISTINCT t) AS n FROM lines GROUP BY host, norm) l
-  JOIN texts USING (host) WHERE n > 25 AND n > n_texts * 0.2
+  JOIN texts USING (host) WHERE n > 10 AND n > n_texts * 0.05
 ),
 removed AS (
   SELECT rid, count(*) AS n_removed_lines,

@@ -105,11 +105,31 @@ def test_main_path_has_no_python(spark):
 
 @pytest.mark.parametrize("n", [0, 1])
 def test_frequent_line_limits(spark, n):
-    rows = [(i, f"same line\nown {i}", "h") for i in range(25 + n)]
+    rows = [(i, f"same line\nown {i}", "h") for i in range(quality.MIN_TEXTS + n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert quality.frequent_lines(docs).count() == n
 
 
+def test_a_line_of_more_than_the_share_of_a_large_host_goes(spark):
+    # 400 texts: the limit is 20 texts; 21 hold one line, 20 another
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(25))
+    rows = [
+        (i, own(i) + ("\nread this line" if i < 21 else "\nread that line" if i < 41 else ""), "h") for i in range(400)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = quality.quality_rules(docs).where("n_removed_lines > 0").collect()
+    assert sorted(r.doc_id for r in out) == list(range(21))
+
+
+def test_the_line_rule_alone_rejects_documents_of_a_given_table(spark):
+    sf = "/root/testdata/sf0.1"
+    out = Q.op8_quality(spark, sf)
+    cut = out.where("n_removed_lines > 0").count()
+    rejected = out.where("NOT base_failed AND NOT kept").collect()
+    assert cut > 500 and 0 < len(rejected) < 50
+    assert all(r.n_words >= 20 > r.n_words - r.n_removed_words for r in rejected)
+
+
 def test_pipeline_stage_removes_the_boilerplate_lines(spark):
     docs = docs_with_boilerplate(spark).withColumn("n_chars", F.length("text").cast("long"))
     kept = corpus_pipeline.quality_stage(spark, docs, SF)
