@@ -47,6 +47,20 @@ def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def plainly_named(df: DataFrame) -> DataFrame:
+    """The columns as c0, c1, ...: names with dots, spaces or clashes need no care."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
+def map_same_columns(df: DataFrame, fn: Callable) -> DataFrame:
+    """``fn`` over Arrow batches, whose columns it gets and returns by place; ``df``'s names and types stay."""
+    from pyspark.sql.types import StructField, StructType
+
+    plain = plainly_named(df)
+    schema = StructType([StructField(f.name, f.dataType, True) for f in plain.schema])
+    return map_batches(plain, fn, schema).toDF(*df.columns)
+
+
 def map_rows(
     df: DataFrame, row_fn: Callable[..., tuple], schema: str, per_batch: int = 500
 ) -> DataFrame:

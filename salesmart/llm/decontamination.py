@@ -23,7 +23,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import map_batches
+from salesmart.llm.common import map_batches, map_same_columns
 from salesmart.session import scratch_uri
 
 ERROR_PERCENT = 8
@@ -236,13 +236,13 @@ def drop_contaminated_rows(
     """The rows of ``docs`` whose own text has no hit, every column as it was.
 
     A row is judged where it is read, whatever its id: null and repeated ids
-    need no key. Each block of items is one more pass over the rows left.
+    need no key, columns may have any names. Each block of items is one more
+    pass over the rows left.
     """
     import pyarrow as pa
-    from pyspark.sql.types import StructField, StructType
 
     sc = docs.sparkSession.sparkContext
-    schema = StructType([StructField(f.name, f.dataType, True) for f in docs.schema])
+    k = docs.columns.index(text_col)
     out = docs
     for block in _blocks(benchmark, item_col, item_text_col):
         sent = sc.broadcast(block)
@@ -250,9 +250,8 @@ def drop_contaminated_rows(
         def run(batches, sent=sent):
             matcher = _matcher(sent.value, percent)
             for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
-                k = batch.schema.get_field_index(text_col)
                 clean = [not matcher.hits(text) for text in batch.column(k).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        out = map_batches(out, run, schema)
+        out = map_same_columns(out, run)
     return out

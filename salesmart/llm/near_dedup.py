@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import map_batches
+from salesmart.llm.common import map_batches, plainly_named
 from salesmart.llm.components import connected_components
 from salesmart.session import scratch_uri
 
@@ -441,15 +441,20 @@ def drop_near_duplicate_rows(
     """One row of each near-duplicate group, every column as it was; rows without words stay.
 
     It is the row with the smallest id, a null id after all others, one row of
-    a repeated id. The rows are written in that order with a number of their
-    own, and the number is their key: ids need be neither present nor distinct.
+    a repeated id. Rows are written once with a number of their own, which is
+    their key: ids need be neither present nor distinct, columns may have any
+    names. Texts are shuffled only if the rows to drop are too many to broadcast.
     """
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
-    # the place in the input also parts the rows of one id, or without, over all tasks of the sort
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
-    ordered = placed.orderBy(F.col(id_col).asc_nulls_last(), row)
-    keyed = _written(ordered.withColumn(row, F.monotonically_increasing_id()), "rows")
-    kept = drop_near_duplicates(keyed, row, text_col, k, percent)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    plain = plainly_named(docs)
+    doc = F.struct(*plain.columns).alias("doc")
+    rows = _written(plain.select(doc, F.monotonically_increasing_id().alias("row")), "rows")
+    text, doc_id = (F.col(f"doc.c{names.index(c)}") for c in (text_col, id_col))
+    texts = rows.select(F.col("row").alias("doc_id"), text.alias("text"))
+    verdict = near_duplicates(texts, k=k, percent=percent).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select("row", doc_id.alias("id"))
+    first = F.struct(F.col("id").isNull().alias("last"), "id", "row")
+    best = verdict.join(ids, "row").groupBy("component_id").agg(F.min(first).alias("first"))
+    gone = _written(ids.select("row").join(best.select("first.row"), "row", "left_anti"), "near-copies")
+    kept = rows.join(gone, "row", "left_anti")
+    return kept.select(*[F.col(f"doc.c{i}").alias(name) for i, name in enumerate(names)])

@@ -27,7 +27,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import map_batches, map_rows, span_text
+from salesmart.llm.common import map_rows, map_same_columns, span_text
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "literal")
@@ -282,26 +282,23 @@ def redact_documents(
     """``docs`` with secrets in the text replaced; same columns, types and rows.
 
     ``length_col``, if present, is the code point count of the new text. Rows
-    without a finding are unchanged.
+    without a finding are unchanged. Columns may have any names.
     """
-    from pyspark.sql.types import StructField, StructType
-
-    schema = StructType([StructField(f.name, f.dataType, True) for f in docs.schema])
+    k = docs.columns.index(text_col)
+    n = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches):
         import pyarrow as pa
 
         for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
-            k = batch.schema.get_field_index(text_col)
             old = batch.column(k).to_pylist()
             new = [redact(x) for x in old]
             columns = list(batch.columns)
             columns[k] = pa.array(new, type=batch.schema.field(k).type)
-            if length_col in batch.schema.names:
-                n = batch.schema.get_field_index(length_col)
+            if n is not None:
                 kept = columns[n].to_pylist()
                 lengths = [c if a == b or b is None else len(b) for a, b, c in zip(old, new, kept)]
                 columns[n] = pa.array(lengths, type=batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return map_batches(docs, run, schema)
+    return map_same_columns(docs, run)
