@@ -4,17 +4,22 @@ A page is cut into blocks at block-level tags; scripts, styles, comments and
 other raw elements give no text. Pass 1 classifies a block by where it stands
 and by its words: a block inside navigation, header, footer, sidebar, form,
 notice, advert or comment markup is boilerplate; a block of the article element
-is text; elsewhere link density, length and stop-word density decide, and short
-blocks without much evidence stay ambiguous. Pass 2 gives every ambiguous block
+is text unless it is one of ``LINK_RUN`` or more link blocks in a row; elsewhere
+link density, length and stop-word density decide, and short blocks without much
+evidence stay ambiguous. Class names of the page's own wrappers (``html``,
+``body``, ``main``, ``article``) reject nothing, and if no text is found, names on
+elements with most of the page's text are left out of account. Pass 2 gives every ambiguous block
 the label of its nearest decided neighbours (text if both sides are text, or if
 the nearer one is). The text is the good blocks in page order.
 
-Every page is read whole inside its own task, no shuffle.
+Every page is read whole inside its own task, no shuffle. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
@@ -24,6 +29,11 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import map_rows
 
 MAX_LINK_DENSITY = 0.3
+#: In an article, so many blocks in a row of at least this link density are a list of links.
+LINK_RUN = 3
+LINK_LIST_DENSITY = 0.66
+#: An element with more than this share of a page's text holds most of it.
+MOST = 0.5
 SHORT_CHARS = 70
 LONG_CHARS = 200
 LOW_STOP_WORDS = 0.15
@@ -46,6 +56,8 @@ BLOCK_TAGS = frozenset(
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe legend li "
     "main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
+#: Elements that hold the page or its article: their names say nothing of their text.
+WRAPPER_TAGS = frozenset("html body main article".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose content is never text of the page.
 RAW_TAGS = frozenset("script style noscript template textarea title svg iframe object".split())
@@ -76,24 +88,25 @@ class Block:
     link_chars: int
     in_boilerplate: bool
     in_article: bool
-    heading: bool
+    #: Numbers of the open elements that only a class or id names as boilerplate.
+    named: tuple[int, ...]
 
     @property
     def link_density(self) -> float:
         return self.link_chars / len(self.text) if self.text else 0.0
 
 
-def _names_boilerplate(attributes: str) -> bool:
-    if "=" not in attributes:
-        return False
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        value = a or b or c
-        if name.lower() == "role":
-            if value.strip().lower() in _ROLE_BOILERPLATE:
-                return True
-        elif _BOILERPLATE_NAME.search(value):
-            return True
-    return False
+def _boilerplate_names(attributes: str) -> tuple[bool, bool]:
+    """Whether the role, and whether a class or id, names boilerplate."""
+    role = name = False
+    if "=" in attributes:
+        for key, a, b, c in _ATTRIBUTE.findall(attributes):
+            value = a or b or c
+            if key.lower() == "role":
+                role |= value.strip().lower() in _ROLE_BOILERPLATE
+            else:
+                name |= bool(_BOILERPLATE_NAME.search(value))
+    return role, name
 
 
 def _pieces(html: str):
@@ -123,8 +136,9 @@ def _pieces(html: str):
 def blocks_of(html: str) -> list[Block]:
     """The non-empty blocks of a page, character references decoded, white space made single."""
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # open elements: tag, whether it is boilerplate
-    bad = article = links = headings = 0
+    stack: list[tuple[str, bool, int]] = []  # open elements: tag, boilerplate by tag or role, number if by name
+    named: list[int] = []
+    bad = article = links = numbers = 0
     parts: list[str] = []
     link_parts: list[str] = []
 
@@ -133,16 +147,15 @@ def blocks_of(html: str) -> list[Block]:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 linked = " ".join(unescape("".join(link_parts)).split())
-                out.append(Block(text, len(linked), bad > 0, article > 0, headings > 0))
+                out.append(Block(text, len(linked), bad > 0, article > 0, tuple(named)))
         parts.clear()
         link_parts.clear()
 
     def count(tag: str, is_bad: bool, by: int) -> None:
-        nonlocal bad, article, links, headings
+        nonlocal bad, article, links
         bad += by * is_bad
         article += by * (tag in ("article", "main"))
         links += by * (tag == "a")
-        headings += by * (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
 
     for kind, value, attributes in _pieces(html):
         if kind == "text":
@@ -155,25 +168,33 @@ def blocks_of(html: str) -> list[Block]:
         if kind == "open":
             if value in VOID_TAGS or attributes.rstrip().endswith("/"):
                 continue
-            is_bad = value in BOILERPLATE_TAGS or _names_boilerplate(attributes)
+            role, name = _boilerplate_names(attributes)
+            is_bad = value in BOILERPLATE_TAGS or role
             # an article's own heading group is part of the article
-            if value == "header" and article and not _names_boilerplate(attributes):
+            if value == "header" and article and not role and not name:
                 is_bad = False
-            stack.append((value, is_bad))
+            number = 0
+            if name and value not in WRAPPER_TAGS:
+                numbers += 1
+                number = numbers
+                named.append(number)
+            stack.append((value, is_bad, number))
             count(value, is_bad, 1)
-        elif kind == "close" and any(t == value for t, _ in reversed(stack)):
+        elif kind == "close" and any(t == value for t, _, _ in reversed(stack)):
             while True:
-                tag, was_bad = stack.pop()
+                tag, was_bad, number = stack.pop()
                 count(tag, was_bad, -1)
+                if number:
+                    named.pop()
                 if tag == value:
                     break
     flush()
     return out
 
 
-def first_label(block: Block) -> str:
-    """Pass 1: good, bad or short (ambiguous)."""
-    if block.in_boilerplate:
+def first_label(block: Block, trusted: frozenset[int] = frozenset()) -> str:
+    """Pass 1: good, bad or short (ambiguous); names of ``trusted`` elements are left out of account."""
+    if block.in_boilerplate or any(k not in trusted for k in block.named):
         return BAD
     if block.in_article:
         return GOOD
@@ -191,6 +212,31 @@ def first_label(block: Block) -> str:
     return BAD if n < LONG_CHARS else SHORT
 
 
+def first_labels(blocks: list[Block], trusted: frozenset[int] = frozenset()) -> list[str]:
+    """Pass 1 of all blocks; lists of links inside an article are bad."""
+    labels = [first_label(b, trusted) for b in blocks]
+    run: list[int] = []
+    for k, block in enumerate([*blocks, None]):
+        if block and block.in_article and block.link_density >= LINK_LIST_DENSITY:
+            run.append(k)
+            continue
+        if len(run) >= LINK_RUN:
+            for j in run:
+                labels[j] = BAD
+        run = []
+    return labels
+
+
+def _holders(blocks: list[Block]) -> frozenset[int]:
+    """Numbers of named elements that hold most of the page's text."""
+    chars: Counter = Counter()
+    for block in blocks:
+        for number in block.named:
+            chars[number] += len(block.text)
+    total = sum(len(b.text) for b in blocks)
+    return frozenset(k for k, n in chars.items() if n > MOST * total)
+
+
 def final_labels(labels: list[str]) -> list[bool]:
     """Pass 2: True for text. An ambiguous block takes its nearest decided neighbours' label."""
     n = len(labels)
@@ -225,7 +271,9 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     blocks = blocks_of(html)
-    keep = final_labels([first_label(b) for b in blocks])
+    keep = final_labels(first_labels(blocks))
+    if not any(keep) and (holders := _holders(blocks)):
+        keep = final_labels(first_labels(blocks, holders))
     return " ".join(b.text for b, good in zip(blocks, keep) if good)
 
 

@@ -7,7 +7,9 @@ is entered only at its start, an address only from its ``@``.
 Kinds: ``email``, ``ip`` (parts to 255), ``card`` (13 to 19 digits, Luhn),
 ``phone`` (9 to 15 digits) are the base kinds and are always reported.
 ``iban`` (mod-97) and ``ssn`` (digit groups with their valid ranges) are added
-by the method; an ``ssn`` has no checksum, so it needs a context word nearby.
+by the method; an ``iban`` is reported also where its digits pass as a card; an
+``ssn`` has no checksum, so it needs a context word nearby and characters of its own.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -141,7 +143,13 @@ def _ssns(text: str) -> list[tuple[int, int]]:
 
 
 def _near(text: str, kind: str, start: int, end: int) -> bool:
-    around = text[max(0, start - CONTEXT_CHARS) : start] + " " + text[end : end + CONTEXT_CHARS]
+    """A context word of the kind within CONTEXT_CHARS; a word that the window cuts is none."""
+    low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
+    while low < start and low and text[low - 1].isalnum() and text[low].isalnum():
+        low += 1
+    while high > end and high < len(text) and text[high - 1].isalnum() and text[high].isalnum():
+        high -= 1
+    around = text[low:start] + " " + text[end:high]
     return any(w.lower() in CONTEXT[kind] for w in _WORD.findall(around))
 
 
@@ -170,7 +178,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
             merged[-1] = (merged[-1][0], max(e, merged[-1][1]))
         else:
             merged.append((s, e))
-    found["iban"] = _free(_ibans(text), merged)
+    found["iban"] = _ibans(text)  # confirmed by its own checksum, whatever its digits are besides
     found["ssn"] = _free(_ssns(text), merged)
     out = []
     for kind in KINDS:

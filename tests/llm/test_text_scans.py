@@ -358,3 +358,59 @@ def test_segment_tree_takes_the_leftmost_lowest_rank():
     assert bpe.merge_symbols([1, 1, 1, 1, 1], pairs) == [2, 3]
     assert bpe.merge_symbols([1], pairs) == [1] and bpe.merge_symbols([], pairs) == []
     assert bpe.merge_symbols([1, 1], pairs) == [2]
+
+
+ARTICLE = "<p>" + "It was the best of times and it was the worst of times for all of the people in the town. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<html class="no-js menu"><body class="has sidebar">{ARTICLE}</body></html>',
+        f'<body><article class="post header">{ARTICLE}</article></body>',
+        f'<body><div class="page sidebar social">{ARTICLE}{ARTICLE}</div><div>x</div></body>',
+    ],
+)
+def test_html_names_of_wrappers_reject_nothing(page):
+    text = html_text.main_text(page)
+    assert text.startswith("It was the best") and text.count("the town.") == page.count("the town.")
+
+
+def test_html_lists_of_links_and_comments_go_but_single_links_stay():
+    links = "".join(f"<li><a href=x>More about town {i}</a></li>" for i in range(5))
+    text = html_text.main_text(f"<article>{ARTICLE}<ul>{links}</ul>{ARTICLE}</article>")
+    assert "More about" not in text and text.count("worst of times") == 8
+    one = html_text.main_text(f"<article>{ARTICLE}<p><a href=x>See the map</a></p>{ARTICLE}</article>")
+    assert "See the map" in one
+    page = f'<article>{ARTICLE}</article><div class="comments">{ARTICLE * 5}</div>'
+    assert html_text.main_text(page).count("worst of times") == 4
+    assert html_text.main_text(f'<nav class="menu">{ARTICLE}</nav>') == ""
+
+
+def test_html_rules_alone_decide_without_markup():
+    links = "<div><a href=a>Home</a> <a href=b>All news</a> <a href=c>Contact</a></div>"
+    page = f"<div>{links}<div>{ARTICLE}</div><div>Then it rained.</div><div>{ARTICLE}</div><div>Copyright 2024</div>{links}</div>"
+    text = html_text.main_text(page)
+    assert text.count("worst of times") == 8 and "Then it rained." in text
+    assert "Home" not in text and "Copyright" not in text
+
+
+@pytest.mark.parametrize(("country", "digits"), [("BE", 12), ("DK", 14), ("FI", 14)])
+def test_pii_keeps_ibans_whose_digits_also_pass_luhn(country, digits):
+    overlapping = 0
+    for k in range(300):
+        body = str(10 ** (digits - 1) + 7919 * k)
+        check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+        text = f"account {country}{check:02d}{body} end"
+        spans = pii.find_spans(text)
+        assert ("iban", 8, 12 + digits) in [x[:3] for x in spans]
+        overlapping += any(x[0] == "card" for x in spans)
+    assert overlapping > 5
+
+
+def test_pii_context_words_are_whole():
+    assert pii._near("ip 10.0.0.1", "ip", 3, 11)
+    far = "zip" + " " * (pii.CONTEXT_CHARS - 2) + "10.0.0.1"  # the window begins inside "zip"
+    assert not pii._near(far, "ip", len(far) - 8, len(far))
+    after = "10.0.0.1" + " " * (pii.CONTEXT_CHARS - 2) + "ipsum"
+    assert not pii._near(after, "ip", 0, 8)
