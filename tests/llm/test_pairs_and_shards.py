@@ -281,26 +281,40 @@ def test_license_edges(spark):
 # --- sharding
 
 
-def plain_shard(doc_id, leaves):
+def plain_shard(doc_id, leaves, draws=None):
     seed = 42
     if doc_id is not None:
         seed = xxhash.xxh64_intdigest(int(doc_id).to_bytes(8, "little", signed=True), seed)
-    best = None
-    for x in leaves:
+
+    def draw(path, below):
         h = seed
-        for v in (x.region, x.rack, x.shard):
+        for v in path:
             h = xxhash.xxh64_intdigest(v.to_bytes(4, "little"), h)
+        if draws is not None:
+            draws.append(path)
         u = ((h >> 11) + 0.5) * 2.0**-53
-        draw = (-np.log(u) / x.weight, x.shard)
-        best = min(best, draw) if best else draw
-    return best[1]
+        return -np.log(u) / sum(x.weight for x in below)
+
+    path, here = (), leaves
+    for level in (lambda x: (x.layer, x.region), lambda x: (x.rack,), lambda x: (x.shard,)):
+        steps = sorted({level(x) for x in here})
+        below = {step: [x for x in here if level(x) == step] for step in steps}
+        step = min(steps, key=lambda s: draw(path + s, below[s])) if len(steps) > 1 else steps[0]
+        path, here = path + step, below[step]
+    return here[0].shard
+
+
+def test_a_key_draws_along_one_path():
+    draws = []
+    plain_shard(7, sharding.balanced_tree(240, regions=4, racks=6), draws)
+    assert len(draws) == 4 + 6 + 10  # of 240 shards
 
 
 def test_shard_query_equals_plain_draws(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = Q.op5_sharding(spark, SF).collect()
     assert len(rows) == len(docs)
-    now, grown = sharding.balanced_tree(24), sharding.balanced_tree(25)
+    now, grown = sharding.balanced_tree(24), sharding.balanced_tree(25, first=24)
     slots = {}
     for r in rows:
         raw = (docs[r.doc_id] or "").encode()
@@ -314,7 +328,7 @@ def test_shard_query_equals_plain_draws(spark):
 def test_weights_set_shares_and_confine_movement(spark):
     ids = spark.range(6000).withColumnRenamed("id", "doc_id")
     leaves = [sharding.Leaf(n % 2, n // 2 % 2, n, 1.0 + (n == 3)) for n in range(6)]
-    heavier = [x if x.shard != 3 else sharding.Leaf(x.region, x.rack, 3, 4.0) for x in leaves]
+    heavier = [*leaves, sharding.Leaf(leaves[3].region, leaves[3].rack, 3, 2.0, layer=1)]
     a = {r.doc_id: r.shard for r in sharding.shard_rows(ids, leaves).collect()}
     b = {r.doc_id: r.shard for r in sharding.shard_rows(ids, heavier).collect()}
     assert all(a[i] == b[i] or b[i] == 3 for i in a)
@@ -324,6 +338,23 @@ def test_weights_set_shares_and_confine_movement(spark):
         sharding.shard_rows(ids, [sharding.Leaf(0, 0, 0, 0.0)])
 
 
+def test_layers_take_rows_only_into_themselves(spark):
+    ids = spark.range(4000).withColumnRenamed("id", "doc_id")
+    tree = sharding.balanced_tree(12)
+    rack = [sharding.Leaf(1, 7, 50 + k, 0.5 + k, layer=1) for k in range(3)]  # a rack of three shards
+    more = [*tree, *rack, sharding.Leaf(0, 0, 99, 1.0, layer=2)]
+
+    def shards(leaves):
+        return {r.doc_id: r.shard for r in sharding.shard_rows(ids, leaves).collect()}
+
+    steps = [shards(tree), shards([*tree, *rack]), shards(more)]
+    assert all(steps[1][i] in (old, 50, 51, 52) for i, old in steps[0].items())
+    assert all(steps[2][i] in (old, 99) for i, old in steps[1].items())
+    counts = Counter(steps[2].values())
+    assert counts[52] / 4000 == pytest.approx(2.5 / 17.5, abs=0.03)
+    assert counts[99] / 4000 == pytest.approx(1 / 17.5, abs=0.03)
+
+
 def test_shard_edges(spark):
     rows = [(None, None), (None, ""), (1, "é"), (1, "é"), (2, None)]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, shard int")
