@@ -37,13 +37,13 @@ from pyspark.sql.types import StructType
 from salesmart.llm.common import map_batches
 
 #: Entries of one generation of the memo.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 100_000
 #: Words longer than this are encoded anew each time, so the memo stays small.
 MEMO_CHARS = 64
 #: Words of more bytes have a tree of their own.
 BATCH_SYMBOLS = 126
-#: Words whose trees are worked on together.
-BATCH_WORDS = 20_000
+#: Leaves of the trees that are worked on together.
+BATCH_LEAVES = 200_000
 #: Texts whose new words are encoded together.
 BATCH_TEXTS = 250
 
@@ -291,9 +291,10 @@ class WordBpe:
                 out[word] = array("I", merge_symbols(symbols, self.pairs)).tobytes()
             else:
                 by_size.setdefault((len(symbols) + 1).bit_length(), []).append((word, symbols))
-        for group in by_size.values():
-            for at in range(0, len(group), BATCH_WORDS):
-                part = group[at : at + BATCH_WORDS]
+        for size, group in by_size.items():
+            step = max(1, BATCH_LEAVES >> size)
+            for at in range(0, len(group), step):
+                part = group[at : at + step]
                 merged, counts = merge_batch([s for _, s in part], self.table)
                 packed = merged.astype("<u4").tobytes()
                 begin = 0
