@@ -8,9 +8,9 @@ new words of a batch are worked on together, a merge of each at a time
 (``merge_batch``); a word of more than ``BATCH_SYMBOLS`` bytes alone.
 
 The vocabulary file (about 2 MB) is read once on the driver from a path given as
-parameter and sent to the tasks; texts never leave their task, no shuffle. Each
-Python worker keeps the ids of words, and of runs of text between spaces, that it
-has met lately, at most 2 * MEMO_WORDS of them.
+parameter and sent to the tasks; texts never leave their task, no shuffle. A
+task keeps the ids of words, and of runs of text between spaces, that it has met
+lately, at most 2 * MEMO_WORDS of them. An empty table gives an empty result.
 Letter and number classes are those of Python's Unicode tables; characters that
 only later Unicode versions assign may be cut otherwise than by other libraries.
 """
@@ -281,6 +281,9 @@ class WordBpe:
                 self.older, self.memo = self.memo, {}
             self.memo[text] = packed
 
+    def forget(self) -> None:
+        self.memo, self.older = {}, {}
+
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Packed ids of each word, little-endian 32-bit integers; the words are distinct."""
         out: dict[str, bytes] = {}
@@ -394,13 +397,16 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, vocabulary, row, colum
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(vocabulary.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                part = batch.slice(at, BATCH_TEXTS)
-                ids = bpe.encode_all(part.column(1).to_pylist())
-                values = zip(*[row(bpe, packed) for packed in ids])
-                arrays = [pa.array(v, type=f.type) for v, f in zip(values, list(out_schema)[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], schema=out_schema)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, BATCH_TEXTS):
+                    part = batch.slice(at, BATCH_TEXTS)
+                    ids = bpe.encode_all(part.column(1).to_pylist())
+                    values = zip(*[row(bpe, packed) for packed in ids])
+                    arrays = [pa.array(v, type=f.type) for v, f in zip(values, list(out_schema)[1:])]
+                    yield pa.RecordBatch.from_arrays([part.column(0), *arrays], schema=out_schema)
+        finally:
+            bpe.forget()  # the worker goes on to other tasks
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return map_batches(source, run, schema)
