@@ -19,8 +19,8 @@ def _floats(rows):
 
 
 def sale(tid="T1", oid="O1", day=dt.date(2025, 1, 1), product="P001", store="S001",
-         channel="store", qty=1, price="100.00", disc="0.00", gross="100.00", net="100.00",
-         ucost="70.00", tcost="70.00", margin="30.00", status="paid") -> tuple:
+         channel="store", qty=1, price="48.20", disc="0.00", gross="48.20", net="48.20",
+         ucost="31.75", tcost="31.75", margin="16.45", status="paid") -> tuple:
     def m(x):
         return None if x is None else D(x)
 
@@ -60,10 +60,10 @@ def clean_lines(n: int = 30) -> list[tuple]:
     for i in range(n):
         order = i // 2
         product = "P001" if i % 2 == 0 else "P002"
-        price = D("100.00") if product == "P001" else D("20.00")
+        price = D("48.20") if product == "P001" else D("17.40")
         qty = 1 + i % 3
         gross = price * qty
-        cost = (D("70.00") if product == "P001" else D("10.00")) * qty
+        cost = (D("31.75") if product == "P001" else D("9.30")) * qty
         cancelled = order % 5 == 0
         net = D("0.00") if cancelled else gross
         margin = D("0.00") if cancelled else net - cost

@@ -88,10 +88,10 @@ def test_csv_unparsable_values_become_null_and_hit_rules(spark):
     header = ",".join(SALES_SCHEMA.fieldNames())
     lines = [
         header,
-        "T1,O1,2025-01-01,P001,S001,store,x,100.00,0,100.00,100.00,70.00,70.00,30.00,paid",
-        "T2,O2,2025-13-40,P001,S001,store,1,100.00,0,100.00,100.00,70.00,70.00,30.00,paid",
-        'T3,O3,2025-01-01,"",S001,store,1,yes,0,100.00,100.00,70.00,70.00,30.00,paid',
-        "T4,O4,2025-01-01,,S001,store,3.5,100.00,0,100.00,100.00,70.00,70.00,30.00,paid",
+        "T1,O1,2025-01-01,P001,S001,store,x,48.20,0,48.20,48.20,31.75,31.75,16.45,paid",
+        "T2,O2,2025-13-40,P001,S001,store,1,48.20,0,48.20,48.20,31.75,31.75,16.45,paid",
+        'T3,O3,2025-01-01,"",S001,store,1,yes,0,48.20,48.20,31.75,31.75,16.45,paid',
+        "T4,O4,2025-01-01,,S001,store,3.5,48.20,0,48.20,48.20,31.75,31.75,16.45,paid",
     ]
     spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
     df = read_csv(spark, path, SALES_SCHEMA)
@@ -100,7 +100,7 @@ def test_csv_unparsable_values_become_null_and_hit_rules(spark):
     assert got["T2"]["transaction_date"] is None
     assert got["T3"]["product_id"] is None and got["T3"]["unit_price"] is None
     assert got["T4"]["product_id"] is None and got["T4"]["quantity"] is None
-    assert got["T1"]["unit_price"] == 100.0
+    assert got["T1"]["unit_price"] == 48.2
     assert df.schema["transaction_date"].dataType.simpleString() == "date"
     assert dt.date(2025, 1, 1) == got["T1"]["transaction_date"]
 
