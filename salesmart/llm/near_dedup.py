@@ -445,16 +445,13 @@ def drop_near_duplicate_rows(
     their key: ids need be neither present nor distinct, columns may have any
     names. Texts are shuffled only if the rows to drop are too many to broadcast.
     """
-    names = docs.columns
     plain = plainly_named(docs)
-    doc = F.struct(*plain.columns).alias("doc")
-    rows = _written(plain.select(doc, F.monotonically_increasing_id().alias("row")), "rows")
-    text, doc_id = (F.col(f"doc.c{names.index(c)}") for c in (text_col, id_col))
-    texts = rows.select(F.col("row").alias("doc_id"), text.alias("text"))
+    text, doc_id = (f"c{docs.columns.index(c)}" for c in (text_col, id_col))
+    rows = _written(plain.withColumn("row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col("row").alias("doc_id"), F.col(text).alias("text"))
     verdict = near_duplicates(texts, k=k, percent=percent).select(F.col("doc_id").alias("row"), "component_id")
-    ids = rows.select("row", doc_id.alias("id"))
+    ids = rows.select("row", F.col(doc_id).alias("id"))
     first = F.struct(F.col("id").isNull().alias("last"), "id", "row")
     best = verdict.join(ids, "row").groupBy("component_id").agg(F.min(first).alias("first"))
     gone = _written(ids.select("row").join(best.select("first.row"), "row", "left_anti"), "near-copies")
-    kept = rows.join(gone, "row", "left_anti")
-    return kept.select(*[F.col(f"doc.c{i}").alias(name) for i, name in enumerate(names)])
+    return rows.join(gone, "row", "left_anti").select(*plain.columns).toDF(*docs.columns)
