@@ -141,3 +141,11 @@ def test_many_stores_are_left_to_sparks_threshold(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(enrich, "BROADCAST_STORES", 5)
     assert not enrich.few_stores(rv.stores(spark, sf_dir))
     assert catalog._stored_silver(spark, sf_dir).count() == catalog._silver(spark, sf_dir).count()
+
+
+def test_parquet_layers_are_zstd(spark):
+    from salesmart.sources.files import write_parquet
+
+    path = scratch_uri(spark, "zstd")
+    write_parquet(spark.range(5).withColumn("k", F.col("id") % 2), path, partition_by=["k"])
+    assert all(".zstd.parquet" in f for f in spark.read.parquet(path).inputFiles())
